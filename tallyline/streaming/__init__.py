@@ -1,0 +1,6 @@
+"""No streaming jobs.
+
+Late changes are picked up by re-running periods in batch: months that are open, or were
+closed within the last days, are recomputed and swapped in (``plans.account_plan``), and
+the current month of a staging table is replaced (``plans.invoice_stage``).
+"""
