@@ -14,6 +14,11 @@ from operator import or_
 from pyspark.sql import Column, functions as F
 
 
+def instant(moment: dt.datetime) -> Column:
+    """Literal point in time without a zone, independent of session and machine settings."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def month_start(value: Column) -> Column:
     return F.trunc(value.cast("date"), "MM")
 

@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyline import fixed_values as fixed
-from tallyline.functions.dates import in_months, month_start
+from tallyline.functions.dates import in_months, instant, month_start
 from tallyline.functions.money import (
     MONEY, WIDE, cents, gross_profit, gross_profit_percent,
 )
@@ -395,7 +395,7 @@ def om_detail(
     return full.withColumns(
         {
             "summary_date": month_start(F.col("gl_date")),
-            "creation_date": F.lit(as_of),
+            "creation_date": instant(as_of),
             "request_id": F.lit(request_id).cast("bigint"),
             "market_uom": F.lit("LB"),
             **{c: F.coalesce(c, F.lit(0)).cast(MONEY) for c in fixed.COST_ELEMENTS},

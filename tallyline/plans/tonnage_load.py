@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyline import fixed_values as fixed
-from tallyline.functions.dates import period_month
+from tallyline.functions.dates import month_name, period_month
 from tallyline.functions.text import numeric_key, order_from_job, value_map
 from tallyline.operators.joins import spread_join
 from tallyline.operators.lookups import checked, several_values
@@ -296,7 +296,7 @@ def tonnage_rows(t: Tables, low: Column, high: Column, organizations: tuple[int,
         {
             "qty": (weight.cast("decimal(24,6)") / F.lit(fixed.POUNDS_PER_TON)).cast(TONS),
             "category": F.col("product_line"),
-            "trans_month": F.upper(F.date_format("transaction_date", "MMM-yy")),
+            "trans_month": month_name(F.col("transaction_date")),
             "wip_entity_id": F.col("transaction_source_id"),
             "_copy": copies,
         }
