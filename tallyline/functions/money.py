@@ -8,6 +8,15 @@ MONEY = "decimal(18,4)"
 WIDE = "decimal(28,4)"
 
 
+def to_units(amount: Column) -> Column:
+    """Money as whole ten-thousandths; too large an amount fails, it does not wrap (ANSI)."""
+    return (amount.cast(MONEY) * 10000).cast("bigint")
+
+
+def from_units(units: Column) -> Column:
+    return (units.cast("decimal(19,0)") * F.lit("0.0001").cast("decimal(5,4)")).cast(WIDE)
+
+
 def cents(total: Column) -> Column:
     """Round to cents, half away from zero, in decimal."""
     return F.round(total, 2).cast(MONEY)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyline.sources.tables import Tables
 
@@ -41,7 +41,7 @@ SEGMENTS = {
     "segment4": "cast(supp_id%7 as string)",
     "segment5": "cast(supp_id%11 as string)",
 }
-ACCOUNT_ID = "{account} + case l_suppkey%3 when 0 then 0 when 1 then 1 else 2 end"
+ACCOUNT_ID = "{account} + cast(l_suppkey%3 as int)"
 TEAM = {
     "team_id": "id",
     "team_number": "cast(id as string)",
@@ -291,8 +291,8 @@ ADAPTERS: dict[str, Adapter] = {
         "customer_trx_line_id": "l_orderkey*10+l_linenumber",
         "customer_trx_id": "l_orderkey",
         "gl_date": "l_shipdate",
-        "acctd_amount": "cast(case when l_discount=0 then 0 when l_returnflag='R' then -l_extendedprice "
-                        "else l_extendedprice end as decimal(18,4))",
+        "acctd_amount": "cast(case when l_discount=0 then 0 when l_returnflag='R' then -1 else 1 end * l_extendedprice "
+                        "as decimal(18,4))",
         "code_combination_id": ACCOUNT_ID.format(
             account="case when s=1 and l_partkey%2=0 then 30 else 0 end + case when l_linenumber=7 and "
                     "l_linestatus='O' then 3 when l_linestatus='F' then 0 when l_suppkey%2=0 then 6 else 9 end"),
@@ -304,7 +304,7 @@ ADAPTERS: dict[str, Adapter] = {
         "segment5": "case (n_nationkey+25*s)%30-(n_nationkey+25*s)%3 when 0 then '3041' when 3 then '6415' "
                     "when 6 then '2405' when 9 then '1210' when 12 then '3010' when 15 then '4138' when 18 then "
                     "'6405' when 21 then '6410' when 24 then '4309' else '9999' end",
-    }, "n_nationkey+25*s<60"),
+    }),
     "hz_cust_accounts": Adapter("customer", {
         "cust_account_id": "c_custkey",
         "party_id": "c_custkey+1000000",
@@ -492,6 +492,12 @@ class _Bases:
     def _copies(df: DataFrame, n: int, column: str = "s") -> DataFrame:
         return df.withColumn(column, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
 
+    @staticmethod
+    def _exact_sum(column: str) -> Column:
+        """Sum of a double with up to four decimals, added up in whole ten-thousandths."""
+        units = F.sum(F.rint(F.col(column) * 10000).cast("bigint"))
+        return (units.cast("decimal(18,0)") * F.lit("0.0001").cast("decimal(5,4)")).cast("decimal(18,4)")
+
     def line(self) -> DataFrame:
         # one row per (order, line number); hashed by line_key, which later joins reuse
         grouped = (
@@ -500,8 +506,8 @@ class _Bases:
             .agg(
                 F.min("l_partkey").alias("item_id"),
                 F.min("l_suppkey").alias("supp_id"),
-                F.sum(F.col("l_quantity").cast("decimal(18,4)")).cast("decimal(18,4)").alias("quantity"),
-                F.sum(F.col("l_extendedprice").cast("decimal(18,4)")).cast("decimal(18,4)").alias("price"),
+                self._exact_sum("l_quantity").alias("quantity"),
+                self._exact_sum("l_extendedprice").alias("price"),
                 F.min("l_shipdate").alias("ship_date"),
                 # the smallest flag, by its character code: numeric minima aggregate by hash
                 F.min(F.ascii("l_returnflag")).alias("flag_code"),
