@@ -9,6 +9,8 @@ time by adaptive execution, which works for the inner and left joins used throug
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -41,8 +43,17 @@ def spread_join(
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
-def null_safe_equal(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    test = F.lit(True)
-    for key in keys:
-        test = test & left[key].eqNullSafe(right[key])
-    return test
+NEW = "_new_"
+
+
+def renamed(df: DataFrame) -> DataFrame:
+    """Prefix every column, so that a join with a frame of the same origin stays unambiguous."""
+    return df.select(*[F.col(c).alias(NEW + c) for c in df.columns])
+
+
+def same_key(keys: Sequence[str], null_safe: bool = True) -> Column:
+    """Join condition between plain and prefixed key columns; NULL keys match if ``null_safe``."""
+    tests = [
+        F.col(k).eqNullSafe(F.col(NEW + k)) if null_safe else F.col(k) == F.col(NEW + k) for k in keys
+    ]
+    return reduce(and_, tests)

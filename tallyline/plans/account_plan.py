@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyline import fixed_values as fixed
 from tallyline.functions.dates import period_month
-from tallyline.operators.joins import null_safe_equal
+from tallyline.operators.joins import NEW, renamed, same_key
 from tallyline.operators.state import backfill_null, upsert_measures
 from tallyline.sources.tables import Tables
 
@@ -93,36 +93,30 @@ def refreshed_interface(
     keeps the other's old value, unless ``strict``.
     """
     old = target.withColumns({"_old": F.lit(True), "_period": in_period})
-    if null_safe:
-        matched = null_safe_equal(old, batch, KEYS)
-    else:
-        matched = F.lit(True)
-        for k in KEYS:
-            matched = matched & (old[k] == batch[k])
-    joined = old.join(batch, matched, "full")
-    touched = {f: batch[f"_{f}"].isNotNull() for f in ("orders", "billing", "revenue", "cost")}
-    existed = old["_old"].isNotNull()
-    in_run = F.coalesce(old["_period"], F.lit(True))
+    joined = old.join(renamed(batch), same_key(KEYS, null_safe), "full")
+    touched = {f: F.col(f"{NEW}_{f}").isNotNull() for f in ("orders", "billing", "revenue", "cost")}
+    existed = F.col("_old").isNotNull()
+    in_run = F.coalesce("_period", F.lit(True))
 
     def value(name: str, mine: Column, present: Column, kept: Column) -> Column:
         """``present``: the row existed when this loader reset its measures."""
         kind = target.schema[name].dataType
-        untouched = F.when(in_run & present, kept).otherwise(old[name])
-        return F.when(mine, batch[name].cast(kind)).otherwise(untouched.cast(kind)).alias(name)
+        untouched = F.when(in_run & present, kept).otherwise(F.col(name))
+        return F.when(mine, F.col(NEW + name).cast(kind)).otherwise(untouched.cast(kind)).alias(name)
 
     zero = F.lit(0)
     had_orders = existed | touched["orders"]
     had_billing = had_orders | touched["billing"]
-    columns = {k: F.when(existed, old[k]).otherwise(batch[k]).alias(k) for k in KEYS}
+    columns = {k: F.when(existed, F.col(k)).otherwise(F.col(NEW + k)).alias(k) for k in KEYS}
     for m in fixed.ORDER_MEASURES:
         columns[m] = value(m, touched["orders"], existed, zero)
     for m in fixed.BILLING_MEASURES:
         columns[m] = value(m, touched["billing"], had_orders, zero)
     for m, other in (("pa_revenue", "cost"), ("pa_cost", "revenue")):
         # a row the other loader inserts gets 0; one it updates keeps what it had
-        kept = zero if strict else F.when(touched[other] & had_billing, old[m]).otherwise(zero)
+        kept = zero if strict else F.when(touched[other] & had_billing, F.col(m)).otherwise(zero)
         columns[m] = value(m, touched[m.removeprefix("pa_")], F.lit(True), kept)
-    return joined.select(*[columns.get(c, old[c].alias(c)) for c in target.columns])
+    return joined.select(*[columns.get(c, F.col(c)) for c in target.columns])
 
 
 def account_plan(
@@ -139,14 +133,13 @@ def account_plan(
 ) -> DataFrame:
     """Refresh the months of ``periods``; then fill missing account numbers."""
     months = periods.select(F.col("summary_date").alias("_month")).distinct()
-    marked = target.join(months, F.col("summary_date") == F.col("_month"), "left")
-    in_period = F.col("_month").isNotNull()
-    old = marked.withColumn("_in_run", in_period)
-    state = old.drop("_month", "_in_run")
+    old = target.join(months, F.col("summary_date") == F.col("_month"), "left").withColumn(
+        "_in_run", F.col("_month").isNotNull()
+    )
+    batch = combined_batch(orders, billing, revenue, cost)
     new = refreshed_interface(
-        old.drop("_month"), combined_batch(orders, billing, revenue, cost), F.col("_in_run"),
-        null_safe=null_safe, strict=strict,
-    ).select(*state.columns)
+        old.drop("_month"), batch, F.col("_in_run"), null_safe=null_safe, strict=strict
+    ).select(*target.columns)
     return backfill_null(
         new, t["hz_cust_accounts_all"], "customer_account_id", "cust_account_id", "account_number"
     )
