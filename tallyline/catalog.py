@@ -50,8 +50,8 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def detail(t: Tables, *parts: str) -> DataFrame:
-    return margin.om_detail(t, as_of=MOMENT, request_id=1, parts=parts or margin.PARTS)
+def detail(t: Tables, *parts: str, refresh: bool = False) -> DataFrame:
+    return margin.om_detail(t, as_of=MOMENT, request_id=1, parts=parts or margin.PARTS, refresh=refresh)
 
 
 # ---- small operators -------------------------------------------------------------
@@ -153,7 +153,7 @@ def account_plan(t: Tables) -> DataFrame:
     recent = plan.limited_to_periods(t, periods)
     return plan.account_plan(
         t, _interface(t), periods,
-        orders=margin.om_month_summary(detail(recent)),
+        orders=margin.om_month_summary(detail(recent, refresh=True)),
         billing=margin.project_billing(recent, None, FREIGHT_ITEM),
         revenue=projects.project_revenue(recent),
         cost=projects.project_cost(recent),

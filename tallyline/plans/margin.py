@@ -132,11 +132,31 @@ def invoice_lines(t: Tables, months: Months) -> DataFrame:
     )
 
 
-def order_line_transactions(t: Tables) -> DataFrame:
+def asked_order_lines(t: Tables, months: Months) -> DataFrame:
+    """Order lines that invoice lines of the given months point at, or whose model they point at.
+
+    A refresh of a few months then joins only their order lines with transactions and costs,
+    instead of shuffling the whole history of both.
+    """
+    lines = t["ra_customer_trx_lines_all"].filter(F.col("inventory_item_id").isNotNull())
+    recent = _distributions(t, fixed.ORDER_REVENUE_ACCOUNTS, months).select("customer_trx_line_id")
+    keys = (
+        lines.join(recent, "customer_trx_line_id", "left_semi")
+        .select(numeric_key(F.col("interface_line_attribute6")).alias("line_id"))
+        .distinct()
+    )
+    model_keys = keys.withColumnRenamed("line_id", "top_model_line_id")
+    orders = t["oe_order_lines_all"]
+    own = orders.join(keys, "line_id", "left_semi")
+    components = orders.join(model_keys, "top_model_line_id", "left_semi").join(keys, "line_id", "left_anti")
+    return own.unionByName(components)
+
+
+def order_line_transactions(t: Tables, only: DataFrame | None = None) -> DataFrame:
     """One row per order line, item and plant: costs of its issues and of its returns.
 
     ``issued`` / ``returned`` count transactions; a transaction without accounting rows counts
-    but has no cost.
+    but has no cost. ``only`` limits the work to some order lines.
     """
     kind = F.col("transaction_type_id")
     issue, back = kind == fixed.ORDER_ISSUE_TYPE, kind == fixed.ORDER_RETURN_TYPE
@@ -156,6 +176,8 @@ def order_line_transactions(t: Tables) -> DataFrame:
         )
         .filter(F.col("line_id").isNotNull())
     )
+    if only is not None:
+        moves = moves.join(only.select("line_id"), "line_id", "left_semi")
     replaced = F.when(F.col("new_cost") != 0, F.col("om_cogs")).otherwise(F.lit(0).cast(WIDE))
 
     def costs(test: Column, prefix: str) -> list[Column]:
@@ -176,7 +198,7 @@ def order_line_transactions(t: Tables) -> DataFrame:
     )
 
 
-def order_sides(t: Tables, parts: Sequence[str]) -> DataFrame:
+def order_sides(t: Tables, parts: Sequence[str], only: DataFrame | None = None) -> DataFrame:
     """What an order line contributes, by the key an invoice line finds it with.
 
     One order line may give several rows: its own issue (Part1), its share of a model's cost
@@ -184,7 +206,8 @@ def order_sides(t: Tables, parts: Sequence[str]) -> DataFrame:
     own still gives one row without a part, so that it is told apart from an absent line.
     """
     figures = [*COST_COLUMNS, "om_replacements"]
-    lines = t["oe_order_lines_all"].select(
+    source = t["oe_order_lines_all"] if only is None else only
+    lines = source.select(
         "line_id",
         "top_model_line_id",
         "ship_from_org_id",
@@ -194,7 +217,7 @@ def order_sides(t: Tables, parts: Sequence[str]) -> DataFrame:
     )
     # an order line without plant or item matches no transaction and is kept
     joined = lines.join(
-        order_line_transactions(t), ["line_id", "inventory_item_id", "ship_from_org_id"], "left"
+        order_line_transactions(t, only), ["line_id", "inventory_item_id", "ship_from_org_id"], "left"
     )
     issued = F.coalesce(F.col("issued") > 0, F.lit(False))
     returned = F.coalesce(F.col("returned") > 0, F.lit(False))
@@ -303,8 +326,15 @@ def _with_dimensions(t: Tables, rows: DataFrame) -> DataFrame:
     )
 
 
-def margin_rows(t: Tables, months: Months = None, parts: Sequence[str] = PARTS) -> DataFrame:
-    """Rows of the requested parts with all names attached; costs are already summed."""
+def margin_rows(
+    t: Tables, months: Months = None, parts: Sequence[str] = PARTS, *, refresh: bool | None = None
+) -> DataFrame:
+    """Rows of the requested parts with all names attached; costs are already summed.
+
+    ``refresh``: reduce the order side to what the months ask for first (default: when months
+    are given). The rows are the same either way.
+    """
+    refresh = months is not None if refresh is None else refresh
     lines = invoice_lines(t, months)
     figures = [*COST_COLUMNS, "om_replacements"]
     zero = F.lit(0).cast(WIDE)
@@ -315,8 +345,9 @@ def margin_rows(t: Tables, months: Months = None, parts: Sequence[str] = PARTS)
 
     with_order = [p for p in parts if p not in WITHOUT_ORDER_LINE]
     if with_order:
+        asked = asked_order_lines(t, months) if refresh else None
         joined = spread_join(
-            lines, order_sides(t, with_order), ["order_key"], spread_by=["customer_trx_line_id"]
+            lines, order_sides(t, with_order, asked), ["order_key"], spread_by=["customer_trx_line_id"]
         )
         matched = F.col("has_order_line").isNotNull()
     else:
@@ -389,9 +420,10 @@ def om_detail(
     as_of: dt.datetime,
     request_id: int | None = None,
     parts: Sequence[str] = PARTS,
+    refresh: bool | None = None,
 ) -> DataFrame:
     """The 49-column margin detail of the given months (``None``: all of them, in one pass)."""
-    full = with_margin(market_quantity(t, margin_rows(t, months, parts)))
+    full = with_margin(market_quantity(t, margin_rows(t, months, parts, refresh=refresh)))
     return full.withColumns(
         {
             "summary_date": month_start(F.col("gl_date")),
