@@ -88,30 +88,12 @@ def _direct_orders(t: Tables) -> DataFrame:
     return numbers.join(headers, "_number").drop("_number")
 
 
-def order_reps(t: Tables) -> DataFrame:
-    """Order number → rep of the order, if the rep is in a team the order may go to."""
-    reps = _reps_by_team(t).select("salesrep_id", "wanted").distinct()
-    return _direct_orders(t).join(reps, ["salesrep_id", "wanted"], "left_semi").select("order_number", "salesrep_id")
-
-
-def order_rep_names(t: Tables) -> DataFrame:
-    """Order number → name of that rep, main organisation only."""
-    reps = _reps_by_team(t).filter(F.col("org_id") == fixed.REP_ORGANIZATION).select("salesrep_id", "wanted", "name")
-    return _direct_orders(t).join(reps, ["salesrep_id", "wanted"]).select(
-        "order_number", F.col("name").alias("salesrep_name")
-    )
-
-
 def _types(t: Tables) -> DataFrame:
     return t["oe_transaction_types_all"].select(
         F.col("transaction_type_id").alias("order_type_id"), F.col("attribute2").alias("lobo")
     )
 
 
-def order_lobs(t: Tables) -> DataFrame:
-    return _direct_orders(t).join(_types(t), "order_type_id").select("order_number", "lobo")
-
-
 def internal_order_path(t: Tables) -> DataFrame:
     """Internal order → requisition line → the standard order it was raised for.
 
@@ -159,47 +141,53 @@ def internal_order_path(t: Tables) -> DataFrame:
 def _direct_attributes(t: Tables) -> DataFrame:
     """One row per order number: team, line of business and rep name of the order itself.
 
-    Each value comes with a flag that says whether it is ambiguous.
+    The rep counts only if they are in a team the order may go to; the name only if the rep
+    belongs to the main organisation. Each value comes with a flag that says whether it is
+    ambiguous. Reps are brought to one row each first, so the orders are read once.
     """
-    def feed(df: DataFrame, kind: str, value: str) -> DataFrame:
-        names = ("salesrep_id", "lobo", "salesrep_name")
-        kinds = {"salesrep_id": "bigint", "lobo": "string", "salesrep_name": "string"}
-        columns = [
-            (F.col(n) if n == value else F.lit(None)).cast(kinds[n]).alias(n) for n in names
-        ]
-        return df.select("order_number", F.lit(kind).alias("kind"), *columns)
-
-    feeds = (
-        feed(order_reps(t), "rep", "salesrep_id")
-        .unionByName(feed(order_lobs(t), "lob", "lobo"))
-        .unionByName(feed(order_rep_names(t), "name", "salesrep_name"))
+    main = F.col("org_id") == fixed.REP_ORGANIZATION
+    reps = (
+        _reps_by_team(t)
+        .groupBy("salesrep_id", "wanted")
+        .agg(
+            F.max(F.when(main, F.col("name"))).alias("rep_name"),
+            several_values(F.col("name"), main).alias("several_names"),
+            (F.count(F.when(main, 1)) > 0).alias("named"),
+        )
+        .join(rep_team(t).select("salesrep_id", F.col("rollup_team").alias("team")), "salesrep_id", "left")
+        .withColumn("in_team", F.lit(True))
+    )
+    rows = (
+        _direct_orders(t)
+        .join(reps, ["salesrep_id", "wanted"], "left")
+        .join(_types(t).withColumn("typed", F.lit(True)), "order_type_id", "left")
     )
-    kind = F.col("kind")
-    orders = feeds.groupBy("order_number").agg(
-        F.max("salesrep_id").alias("salesrep_id"),
-        several_values(F.col("salesrep_id"), kind == "rep").alias("reps"),
+    named = F.coalesce("named", F.lit(False))
+    return rows.groupBy("order_number").agg(
+        F.max("team").alias("direct_team"),
+        several_values(F.col("salesrep_id"), F.col("in_team").isNotNull()).alias("reps"),
         F.max("lobo").alias("direct_lob"),
-        several_values(F.col("lobo"), kind == "lob").alias("lobs"),
-        F.max("salesrep_name").alias("salesrep_name"),
-        several_values(F.col("salesrep_name"), kind == "name").alias("names"),
+        several_values(F.col("lobo"), F.col("typed").isNotNull()).alias("lobs"),
+        F.max("rep_name").alias("salesrep_name"),
+        (several_values(F.col("rep_name"), named) | F.coalesce(F.max("several_names"), F.lit(False))).alias("names"),
     )
-    teams = rep_team(t).select("salesrep_id", F.col("rollup_team").alias("direct_team"))
-    return orders.join(teams, "salesrep_id", "left").drop("salesrep_id")
 
 
 def _internal_attributes(t: Tables) -> DataFrame:
     """One row per (internal order, plant): team and line of business of the standard order."""
-    reps = _reps_in_any_team(t).distinct().withColumn("in_team", F.lit(True))
+    reps = (
+        _reps_in_any_team(t)
+        .distinct()
+        .join(rep_team(t).select("salesrep_id", F.col("rollup_team").alias("team")), "salesrep_id", "left")
+        .withColumn("in_team", F.lit(True))
+    )
     path = internal_order_path(t).join(reps, "salesrep_id", "left")
-    in_team = F.col("in_team").isNotNull()
-    found = path.groupBy("order_number", "organization_id").agg(
-        F.max(F.when(in_team, F.col("salesrep_id"))).alias("salesrep_id"),
-        several_values(F.col("salesrep_id"), in_team).alias("internal_reps"),
+    return path.groupBy("order_number", "organization_id").agg(
+        F.max("team").alias("internal_team"),
+        several_values(F.col("salesrep_id"), F.col("in_team").isNotNull()).alias("internal_reps"),
         F.max("lobo").alias("internal_lob"),
         several_values(F.col("lobo")).alias("internal_lobs"),
     )
-    teams = rep_team(t).select("salesrep_id", F.col("rollup_team").alias("internal_team"))
-    return found.join(teams, "salesrep_id", "left").drop("salesrep_id")
 
 
 def with_order_attributes(t: Tables, rows: DataFrame, spread_by: list[str]) -> DataFrame:
