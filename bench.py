@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR   input directory (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default: all)
-BENCH_RUNS     timed runs per query after one warm-up (default 2; the median is reported)
+BENCH_RUNS     timed runs per query after one warm-up (default 1; the median is reported)
 BENCH_QUERIES  comma-separated keys instead of the headline set
 """
 
@@ -25,7 +25,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     keys = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
     spark = get_session(
         "bench",
