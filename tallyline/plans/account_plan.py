@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyline import fixed_values as fixed
 from tallyline.functions.dates import period_month
+from tallyline.operators.bounds import scan_bounds
 from tallyline.operators.joins import NEW, renamed, same_key
 from tallyline.operators.state import backfill_null, upsert_measures
 from tallyline.sources.tables import Tables
@@ -44,13 +45,13 @@ def open_periods(
 def rows_of_open_periods(df: DataFrame, column: str, periods: DataFrame) -> DataFrame:
     """Rows whose date lies in one of the months of ``periods``, without reading them first.
 
-    The outer bounds are scalar subqueries, which reach the scan as pushed filters; the exact
-    months are a semi join with the short list.
+    The outer bounds are scalar subqueries of the column's own type, which reach the scan as
+    pushed filters; the exact months are a semi join with the short list.
     """
-    first = periods.agg(F.min("summary_date")).scalar()
-    last = periods.agg(F.add_months(F.max("summary_date"), 1)).scalar()
+    month = F.col("summary_date")
+    first, after = scan_bounds(periods, month, F.add_months(month, 1), df.schema[column].dataType)
     months = periods.select(F.col("summary_date").alias("_month")).distinct()
-    inside = df.filter((F.col(column) >= first) & (F.col(column) < last))
+    inside = df.filter((F.col(column) >= first) & (F.col(column) < after))
     return inside.join(months, F.trunc(F.col(column).cast("date"), "MM") == F.col("_month"), "left_semi")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyline import fixed_values as fixed
 from tallyline.functions.dates import month_name, period_month
 from tallyline.functions.text import numeric_key, order_from_job, value_map
+from tallyline.operators.bounds import scan_bounds
 from tallyline.operators.joins import spread_join
 from tallyline.operators.lookups import checked, several_values
 from tallyline.operators.state import period_replace
@@ -239,19 +240,19 @@ def produced_orders(t: Tables) -> DataFrame:
 def completions_in_periods(t: Tables, calendar: DataFrame, organizations: tuple[int, ...]) -> DataFrame:
     """Completed production, once per accounting period its day lies in.
 
-    The calendar's outer bounds are scalar subqueries on the bare date column: they reach the
-    scan, the exact days are the join.
+    The calendar's outer bounds are scalar subqueries of the date column's own type: they reach
+    the scan, the exact days are the join.
     """
-    first = calendar.agg(F.min("day")).scalar()
-    last = calendar.agg(F.date_add(F.max("day"), 1)).scalar()
-    when = F.col("transaction_date")
-    made = t["mtl_material_transactions"].filter(
+    moves, when = t["mtl_material_transactions"], F.col("transaction_date")
+    day = F.col("day")
+    first, after = scan_bounds(calendar, day, F.date_add(day, 1), moves.schema["transaction_date"].dataType)
+    made = moves.filter(
         (F.col("transaction_type_id") == fixed.COMPLETION_TYPE)
         & (F.col("transaction_source_type_id") == fixed.COMPLETION_SOURCE_TYPE)
         & (F.col("transaction_action_id") == fixed.COMPLETION_ACTION)
         & F.col("organization_id").isin(*organizations)
         & (when >= first)
-        & (when < last)
+        & (when < after)
     )
     return made.withColumn("day", when.cast("date")).join(calendar, ["organization_id", "day"]).drop("day")
 

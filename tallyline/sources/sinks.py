@@ -35,8 +35,8 @@ def append_rows(df: DataFrame, table: str, columns: Sequence[str]) -> None:
 def write_history(df: DataFrame, path: str, period: str) -> None:
     """First load: every period in one write, one directory per period.
 
-    Rows are spread by their period and a hash of all columns' values inside AQE's
-    rebalance step, so one very large period is written by many tasks.
+    The rebalance step groups rows by period and splits a period that is too large for one
+    task, so neither many small files nor one giant writer results.
     """
     df.hint("rebalance", period).write.partitionBy(period).mode("overwrite").parquet(path)
 

@@ -11,7 +11,7 @@ os.environ.setdefault("PYARROW_IGNORE_TIMEZONE", "1")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tallyline.session import get_session
 
     session = get_session(
@@ -19,6 +19,7 @@ def spark():
         **{
             "spark.master": "local[4]",
             "spark.ui.enabled": "false",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.driver.memory": "4g",
             "spark.sql.shuffle.partitions": "2",
             # tiny inputs: compiling generated code would take most of the time

@@ -154,6 +154,24 @@ def test_static_partition_overwrite(spark, tmp_path):
     assert cut.count() == 2
 
 
+def test_table_sinks(spark):
+    rows = spark.createDataFrame([(1, "a")], "id bigint, m string")
+    sinks.replace_table(rows, "stored_rows", provider="parquet")
+    # columns are written by name and order of the contract, not by position of the frame
+    sinks.append_rows(spark.createDataFrame([("b", 2)], "m string, id bigint"), "stored_rows", ["id", "m"])
+    assert sorted(map(tuple, spark.table("stored_rows").collect())) == [(1, "a"), (2, "b")]
+    sinks.replace_table(rows, "stored_rows", provider="parquet")
+    assert spark.table("stored_rows").count() == 1
+
+
+def test_period_bounds_reach_the_scan(tables, capsys):
+    recent = plan.limited_to_periods(tables, plan.open_periods(tables, catalog.AS_OF))
+    for name, column in (("pa_cost_distribution_lines_all", "o_orderdate"), ("ra_cust_trx_line_gl_dist_all", "l_shipdate")):
+        recent[name].explain("formatted")
+        text = capsys.readouterr().out
+        assert f"GreaterThanOrEqual({column},ScalarSubquery" in text and f"LessThan({column},ScalarSubquery" in text
+
+
 def test_sales_views_and_tables(spark, tables):
     view = sinks.publish_view(catalog.JOBS["active_rows"](tables), "live_territories", ["salesrep_id", "territory_id"])
     assert spark.table("live_territories").columns == view.columns
