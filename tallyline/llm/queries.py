@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.llm import mixing, neardup
+from tallyline.llm import decontaminate, language, licenses, mixing, neardup, urlfilter, warc
 from tallyline.llm.store import package_for_workers
 
 
@@ -19,13 +19,34 @@ def op1_probminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))[0]
 
 
+def op2_rare_token_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents")).drop("matches")
+
+
+def op3_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontaminate.contamination(documents, benchmark).drop("text_key")
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.filter_urls(_table(spark, sf_dir, "pages"))
+
+
+def op8_warc_zstd_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op10_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_source_mixing": mixing.oracle()}
+    return {"op3_positional_decontamination": decontaminate.oracle(), "op8_warc_zstd_round_trip": warc.oracle(), "op9_source_mixing": mixing.oracle()}

@@ -49,7 +49,9 @@ def lowered(data: bytes) -> np.ndarray:
 
 
 def _hashed(low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    edges = np.flatnonzero(np.diff(low != 0, prepend=False, append=False))
+    inside = np.zeros(len(low) + 2, bool)
+    np.not_equal(low, 0, out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
     up, down = _POWERS.upto(len(low) + 1)
     total = np.zeros(len(low) + 1, U64)
