@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyline.llm import decontaminate, language, licenses, mixing, neardup, urlfilter, warc
+from tallyline.llm import decontaminate, extract, language, licenses, mixing, neardup, urlfilter, vptree, warc
 from tallyline.llm.store import package_for_workers
 
 
@@ -28,10 +28,18 @@ def op3_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.contamination(documents, benchmark).drop("text_key")
 
 
+def op4_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op7_site_style_tree_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 def op8_warc_zstd_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
