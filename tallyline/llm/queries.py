@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyline.llm import decontaminate, extract, language, licenses, mixing, neardup, urlfilter, vptree, warc
+from tallyline.llm import decontaminate, extract, language, licenses, mixing, neardup, suffixdedup, urlfilter, vptree, warc
 from tallyline.llm.store import package_for_workers
 
 
@@ -36,6 +36,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op6_deep_shallow_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.removal_report(_table(spark, sf_dir, "documents")).drop("runs")
+
+
 def op7_site_style_tree_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract_main_text(_table(spark, sf_dir, "pages"))
 
