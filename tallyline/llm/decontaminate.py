@@ -32,10 +32,13 @@ def words(text: str) -> Column:
     return F.filter(F.split(lowered, _SEPARATORS), lambda w: w != "")
 
 
+def text_key() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")), F.length("text")).alias("text_key")
+
+
 def token_store(documents: DataFrame) -> DataFrame:
     """Tokens of every document in order, written to the shared folder."""
-    text_key = F.xxhash64(F.coalesce("text", F.lit("")), F.length("text"))
-    return written(documents.select("doc_id", text_key.alias("text_key"), words("text").alias("words")), "tokens")
+    return written(documents.select("doc_id", text_key(), words("text").alias("words")), "tokens")
 
 
 def item_windows(benchmark: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
@@ -143,6 +146,15 @@ def contamination(documents: DataFrame, benchmark: DataFrame, length: int = LENG
     )
 
 
+def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents, all columns, without those that hold a window of a test item."""
+    dirty = contamination(documents, benchmark).where("contaminated").select(F.col("doc_id").alias("d"), F.col("text_key").alias("k")).distinct()
+    dirty = small_or_not(written(dirty, "contaminated"))
+    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("i"), text_key())
+    kept = rows.join(dirty, F.col("i").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")), "left_anti")
+    return kept.select(*[F.col("row")[c].alias(c) for c in documents.columns])
+
+
 def oracle(length: int = LENGTH) -> str:
     """The same in SQL, by joining all windows of the documents with those of the items."""
     tokens = "regexp_extract_all(translate(coalesce(text, ''), '{}', '{}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')".format(_UPPER, _LOWER)

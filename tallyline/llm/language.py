@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from tallyline.llm.words import U64, mix
 
@@ -221,13 +221,19 @@ def judged(documents: DataFrame, identifier: Identifier, keep: tuple[str, ...] =
             same = [batch.column(c) for c in ("doc_id", *keep)]
             yield pa.RecordBatch.from_arrays([*same, *columns], ["doc_id", *keep, "lang_pred", "score", "entropy", "n_letters", "rejected"])
 
-    types = dict(documents.dtypes)
-    kept = "".join(f"`{c}` {types[c]}, " for c in keep)
-    schema = f"doc_id {types['doc_id']}, {kept}lang_pred string, score double, entropy double, n_letters long, rejected boolean"
-    return documents.select("doc_id", *[c for c in keep], "text").mapInArrow(run, schema)
+    told = T.StructType.fromDDL("lang_pred string, score double, entropy double, n_letters long, rejected boolean")
+    schema = T.StructType([documents.schema[c] for c in ("doc_id", *keep)] + told.fields)
+    return documents.select("doc_id", *keep, "text").mapInArrow(run, schema)
 
 
 def identify(documents: DataFrame, identifier: Identifier | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred, score and rejected for every row; without an identifier one is trained on the same documents."""
     found = judged(documents, identifier or train(documents))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def known_language(documents: DataFrame) -> DataFrame:
+    """The documents, all columns, without those that are rejected; models are trained on the same documents."""
+    rows = documents.select(F.struct("*").alias("row"), "doc_id", "text")
+    kept = judged(rows, train(documents), keep=("row",)).where(~F.col("rejected"))
+    return kept.select(*[F.col("row")[c].alias(c) for c in documents.columns])

@@ -20,6 +20,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from tallyline.llm.store import small_or_not
+
 SIZE_PATTERN = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MOST_EPOCHS = 3
@@ -51,13 +53,14 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most_ep
 
 
 def mix_sources(
-    documents: DataFrame, weights: Sequence[float] = WEIGHTS, most_epochs: float = MOST_EPOCHS, seed: str = ""
+    documents: DataFrame, weights: Sequence[float] = WEIGHTS, most_epochs: float = MOST_EPOCHS, seed: str = "", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Every input row's doc_id, size, source_size, target and taken (words of it in the mix, repeats counted)."""
+    """Every input row's doc_id, `keep` columns, size, source_size, target and taken (words of it in the mix, repeats counted)."""
     text = F.coalesce("text", F.lit(""))
     drawn = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), text)))
     docs = documents.select(
-        "doc_id", "source", F.regexp_count(text, F.lit(SIZE_PATTERN)).cast("long").alias("size"), drawn.alias("key"), F.md5(text).alias("tie")
+        "doc_id", "source", F.regexp_count(text, F.lit(SIZE_PATTERN)).cast("long").alias("size"), drawn.alias("key"), F.md5(text).alias("tie"),
+        F.struct(*keep).alias("kept") if keep else F.lit(None).cast("int").alias("kept"),
     ).withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
     sums = docs.groupBy("source", "bucket").agg(F.sum("size").alias("size"))
     earlier = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
@@ -65,14 +68,15 @@ def mix_sources(
         F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before")
     )
     target = source_targets(sums.select("source", "size"), weights, most_epochs).withColumnRenamed("source", "of")
-    plan = before.join(target, F.col("s").eqNullSafe(F.col("of"))).drop("of")
+    plan = small_or_not(before.join(target, F.col("s").eqNullSafe(F.col("of"))).drop("of"))
     within = W.partitionBy("source", "bucket").orderBy("key", "doc_id", "tie").rowsBetween(W.unboundedPreceding, -1)
     placed = docs.withColumn("within", F.coalesce(F.sum("size").over(within), F.lit(0)))
     placed = placed.join(plan, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
     epochs = F.when(F.col("source_size") > 0, F.floor(F.floor("target") / F.col("source_size"))).otherwise(0)
     rest = F.floor("target") - epochs * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before") - F.col("within")))
-    return placed.select("doc_id", "size", "source_size", "target", (epochs * F.col("size") + part).cast("long").alias("taken"))
+    kept = [F.col("kept")[c].alias(c) for c in keep if c != "doc_id"]
+    return placed.select("doc_id", *kept, "size", "source_size", "target", (epochs * F.col("size") + part).cast("long").alias("taken"))
 
 
 def oracle(weights: Sequence[float] = WEIGHTS, most_epochs: float = MOST_EPOCHS) -> str:

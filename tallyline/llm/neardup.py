@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tallyline.llm.store import small_or_not, written
 from tallyline.llm.words import U64, counted_shingles, mix
@@ -213,15 +213,21 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select(F.col("b"), F.col("b")).distinct())
 
 
+def _own_id() -> Column:
+    """doc_id, or for rows without one a number above all ids that depends on the text alone."""
+    stand_in = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(_NO_ID - 1)) + F.lit(_NO_ID)
+    return F.coalesce("doc_id", stand_in)
+
+
 def near_duplicates(
     documents: DataFrame, threshold: float = THRESHOLD, size: int = SIZE, bands: int = BANDS, rows: int = ROWS
 ) -> tuple[DataFrame, DataFrame]:
     """(classes, links). Classes: for each input row its doc_id, class_id (smallest doc_id of the class) and n_links (verified links
-    of its text to other texts, as far as they were looked at). Links: pairs of nodes a < b with both similarities; a node is the
-    smallest doc_id of a text."""
+    of its text to other texts, as far as they were looked at); further id, its doc_id or what stands for it, root, the smallest such
+    of its class, and stays, whether they are equal. Links: pairs of nodes a < b with both similarities; a node is the smallest id of
+    a text."""
     text = F.coalesce("text", F.lit(""))
-    stand_in = F.xxhash64(text).bitwiseAND(F.lit(_NO_ID - 1)) + F.lit(_NO_ID)
-    docs = documents.select("doc_id", F.coalesce("doc_id", stand_in).alias("id"), F.md5(text).alias("digest"), text.alias("text"))
+    docs = documents.select("doc_id", _own_id().alias("id"), F.md5(text).alias("digest"), text.alias("text"))
     sketch = docs.select("id", "digest", "text").mapInPandas(
         _sketch(bands, rows, size), "id long, digest string, keys array<long>, sig binary"
     )
@@ -263,6 +269,20 @@ def near_duplicates(
     out = docs.select("doc_id", "id", "digest").join(known, "digest", "left")
     root_id = F.coalesce("root", "node", "id")
     classes = out.select(
-        "doc_id", F.when(root_id < _NO_ID, root_id).alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+        "doc_id", F.when(root_id < _NO_ID, root_id).alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        root_id.alias("root"), (F.col("id") == root_id).alias("stays"), "id",
     )
     return classes, links
+
+
+def one_of_each(documents: DataFrame) -> DataFrame:
+    """The documents, all columns, one of each class: the row of the smallest doc_id. Of rows that share that id (rows without id and of
+    equal text count as sharing one), the first by its columns stays."""
+    classes = near_duplicates(documents)[0]
+    stays = written(classes.where("stays").groupBy("id").agg(F.count("*").alias("n")), "stays")
+    rows = documents.select(F.struct("*").alias("row"), _own_id().alias("own"))
+    once = rows.join(small_or_not(stays.where("n = 1").select("id")), F.col("own") == F.col("id"), "left_semi")
+    often = rows.join(small_or_not(stays.where("n > 1").select("id")), F.col("own") == F.col("id"), "left_semi")
+    place = F.row_number().over(W.partitionBy("own").orderBy(F.md5(F.to_json("row"))))
+    kept = once.union(often.withColumn("place", place).where("place = 1").drop("place"))
+    return kept.select(*[F.col("row")[c].alias(c) for c in documents.columns])

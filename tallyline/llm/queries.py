@@ -16,7 +16,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_probminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))[0]
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))[0].select("doc_id", "class_id", "n_links")
 
 
 def op2_rare_token_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
