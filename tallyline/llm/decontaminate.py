@@ -94,11 +94,16 @@ def phrase_matches(documents_tokens: DataFrame, windows: DataFrame) -> DataFrame
     able = F.filter("windows", lambda x: F.size(F.array_except(x["need"], F.col("places"))) == 0)
     candidates = met.join(by_item, "item").select("doc_id", "text_key", "item", "diagonal", F.inline(able))
     candidates = candidates.select(
-        F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "item", "at", (F.col("diagonal") + F.col("at")).alias("start"), "n", "window"
+        F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "item", "at", (F.col("diagonal") + F.col("at")).alias("start"), "n"
     ).where("start >= 0")
     candidates = written(candidates, "candidates")
-    found = documents_tokens.join(small_or_not(candidates), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
-    found = found.where(F.slice("words", F.col("start") + 1, F.col("n")) == F.col("window"))
+    # only documents with candidates are moved; what is broadcast is two numbers for each of them
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k"))
+    touched = documents_tokens.join(small_or_not(candidates.select("d", "k").distinct()), same, "left_semi")
+    found = touched.join(candidates, same).select(
+        "doc_id", "text_key", "item", "at", "start", "n", F.slice("words", F.col("start") + 1, F.col("n")).alias("there")
+    )
+    found = found.join(windows.select("item", "at", "window"), ["item", "at"]).where("there = window")
     return found.select("doc_id", "text_key", "item", "at", "start", "n")
 
 

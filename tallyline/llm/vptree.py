@@ -125,11 +125,11 @@ def nearest(
     shards = max(1, -(-n // shard_rows))
     own = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)))
     asked = vectors.where("asks").withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(max(1, n // 100 // QUERY_ROWS))))
-    everywhere = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
+    everywhere = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
     # a shard's vectors meet each block of queries in a task of their own
     blocks = asked.select("size", "block").distinct()
     here = own.join(blocks, "size").select("size", "shard", "block", "vec_id", "v", F.lit(False).alias("asks"))
-    there = asked.select("size", everywhere.cast("long").alias("shard"), "block", "vec_id", "v", F.lit(True).alias("asks"))
+    there = asked.select("size", everywhere.alias("shard"), "block", "vec_id", "v", F.lit(True).alias("asks"))
     tasks = here.union(there)
 
     def search(table: pa.Table) -> pa.Table:
