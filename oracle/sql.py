@@ -655,12 +655,11 @@ QUERIES = {
     "order_lob": "select order_number, organization_id, lobo from order_facts",
     "order_salesrep": "select order_number, organization_id, salesrep_name from order_facts",
     "tonnage_load": f"select {_fact(TONS)} from fact",
-    # rows of other months stay unless they are reloaded; June 1998 is loaded afresh
+    # the rows of a full load; those of the period June 1998 are loaded afresh, all others are the stored ones
     "tonnage_refresh": f"""
         select {_fact(TONS)} from fact where period_month=timestamp '1998-06-01'
         union all
-        select {_fact(TONS + ' + 1')} from fact where trans_month<>'JUN-98'
-         and transaction_id not in (select transaction_id from fact where period_month=timestamp '1998-06-01')""",
+        select {_fact(TONS + ' + 1')} from fact where period_month is distinct from timestamp '1998-06-01'""",
     "cost_elements": f"select transaction_id, {_doubles(COSTS, 4)} from costs",
     "om_freight_credits": """
         select customer_trx_line_id, line_of_business, rev_gl_account, gl_date, cast(om_rev as double) as om_rev,

@@ -109,12 +109,13 @@ def row_quarantine(t: Tables) -> DataFrame:
 # ---- tonnage fact ----------------------------------------------------------------
 
 def tonnage_load(t: Tables) -> DataFrame:
-    return fact.tonnage_backfill(t, LAST_PERIOD, FIRST_PERIOD)
+    return fact.tonnage_backfill(t, LAST_PERIOD, FIRST_PERIOD).select(*fixed.TONNAGE_FACT_COLUMNS)
 
 
 def tonnage_refresh(t: Tables) -> DataFrame:
-    stale = tonnage_load(t).withColumn("qty", (F.col("qty") + 1).cast(fact.TONS))
-    return fact.tonnage_refresh(t, stale, "JUN-98", AS_OF)
+    stored = fact.tonnage_backfill(t, LAST_PERIOD, FIRST_PERIOD)
+    stale = stored.withColumn("qty", (F.col("qty") + 1).cast(fact.TONS))
+    return fact.tonnage_refresh(t, stale, "JUN-98", AS_OF, first_load=False).select(*fixed.TONNAGE_FACT_COLUMNS)
 
 
 # ---- margin ------------------------------------------------------------------------
@@ -201,9 +202,9 @@ def history_backfill(t: Tables) -> DataFrame:
 
 
 def incremental_refresh(t: Tables) -> DataFrame:
-    rows = detail(t)
-    old = stage.history_backfill(t, rows, YEARS, as_of=MOMENT, user="first load")
-    return stage.incremental_refresh(t, old, rows, as_of=MOMENT, user="refresh")
+    old = stage.history_backfill(t, detail(t), YEARS, as_of=MOMENT, user="first load")
+    month = margin.om_detail(t, MONTH, as_of=MOMENT, request_id=1)
+    return stage.incremental_refresh(t, old, month, as_of=MOMENT, user="refresh", first_load=False)
 
 
 JOBS: dict[str, Job] = {

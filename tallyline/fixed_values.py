@@ -134,3 +134,6 @@ SALES_REP_DIMENSION_COLUMNS = (
 ORDER_MEASURES = ("om_freight", "om_credits", "om_replacements", "om_revenue", "om_cost")
 BILLING_MEASURES = ("pa_invoice", "pa_freight")
 PROJECT_MEASURES = ("pa_revenue", "pa_cost")
+
+# Month names of period names and month texts, whatever the locale.
+MONTH_NAMES = "JAN FEB MAR APR MAY JUN JUL AUG SEP OCT NOV DEC".split()

@@ -24,22 +24,27 @@ def spread_join(
     spread_by: Sequence[str],
     how: str = "left",
     hot: Sequence[object] = (),
+    spread: int = SPREAD,
 ) -> DataFrame:
     """Equi-join on same-named columns, with NULL and known hot keys spread over partitions.
 
-    Left rows whose first key is NULL or in ``hot`` get a salt from ``spread_by``; right rows
-    with a hot key are copied once per salt, all others keep salt 0. Same rows as a plain
-    join: a left row meets exactly one copy.
+    Left rows whose first key is NULL match nothing: their salt is a whole hash of
+    ``spread_by``, so they go to as many tasks as there are. Those whose key is in ``hot`` get
+    one of ``spread`` salts, and right rows with such a key are copied once per salt; all
+    others keep salt 0. Same rows as a plain join: a left row meets at most one copy.
     """
     key = F.col(on[0])
-    spread = key.isNull() | key.isin(list(hot)) if hot else key.isNull()
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)).cast("int")
-    salted_left = left.withColumn("_salt", F.when(spread, salt).otherwise(F.lit(0)))
+    whole = F.xxhash64(*spread_by)
+    none = F.lit(0).cast("bigint")
+    salt = F.when(key.isNull(), whole)
     if hot:
-        copies = F.when(key.isin(list(hot)), F.sequence(F.lit(0), F.lit(SPREAD - 1)))
-        salted_right = right.withColumn("_salt", F.explode(copies.otherwise(F.array(F.lit(0)))))
+        is_hot = key.isin(list(hot))
+        salt = salt.when(is_hot, F.pmod(whole, F.lit(spread).cast("bigint")))
+        copies = F.when(is_hot, F.sequence(none, F.lit(spread - 1).cast("bigint"))).otherwise(F.array(none))
+        salted_right = right.withColumn("_salt", F.explode(copies))
     else:
-        salted_right = right.withColumn("_salt", F.lit(0))
+        salted_right = right.withColumn("_salt", none)
+    salted_left = left.withColumn("_salt", salt.otherwise(none))
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 

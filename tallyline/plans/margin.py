@@ -135,21 +135,21 @@ def invoice_lines(t: Tables, months: Months) -> DataFrame:
 def asked_order_lines(t: Tables, months: Months) -> DataFrame:
     """Order lines that invoice lines of the given months point at, or whose model they point at.
 
-    A refresh of a few months then joins only their order lines with transactions and costs,
-    instead of shuffling the whole history of both.
+    A refresh of a few months then joins only their order lines with transactions, and only
+    those transactions with costs, instead of shuffling the whole history of both.
     """
     lines = t["ra_customer_trx_lines_all"].filter(F.col("inventory_item_id").isNotNull())
     recent = _distributions(t, fixed.ORDER_REVENUE_ACCOUNTS, months).select("customer_trx_line_id")
     keys = (
         lines.join(recent, "customer_trx_line_id", "left_semi")
-        .select(numeric_key(F.col("interface_line_attribute6")).alias("line_id"))
+        .select(numeric_key(F.col("interface_line_attribute6")).alias("_key"))
         .distinct()
     )
-    model_keys = keys.withColumnRenamed("line_id", "top_model_line_id")
     orders = t["oe_order_lines_all"]
-    own = orders.join(keys, "line_id", "left_semi")
-    components = orders.join(model_keys, "top_model_line_id", "left_semi").join(keys, "line_id", "left_anti")
-    return own.unionByName(components)
+    # each line under its own number and its model's: one join finds both kinds
+    under = orders.select("line_id", F.explode(F.array("line_id", "top_model_line_id")).alias("_key"))
+    found = under.join(keys, "_key", "left_semi").select("line_id").distinct()
+    return orders.join(found, "line_id", "left_semi")
 
 
 def order_line_transactions(t: Tables, only: DataFrame | None = None) -> DataFrame:
@@ -176,8 +176,10 @@ def order_line_transactions(t: Tables, only: DataFrame | None = None) -> DataFra
         )
         .filter(F.col("line_id").isNotNull())
     )
+    accounts = t["mtl_transaction_accounts"]
     if only is not None:
         moves = moves.join(only.select("line_id"), "line_id", "left_semi")
+        accounts = accounts.join(moves.select("transaction_id"), "transaction_id", "left_semi")
     replaced = F.when(F.col("new_cost") != 0, F.col("om_cogs")).otherwise(F.lit(0).cast(WIDE))
 
     def costs(test: Column, prefix: str) -> list[Column]:
@@ -187,7 +189,7 @@ def order_line_transactions(t: Tables, only: DataFrame | None = None) -> DataFra
         ]
 
     return (
-        moves.join(cost_by_transaction(t["mtl_transaction_accounts"]), "transaction_id", "left")
+        moves.join(cost_by_transaction(accounts), "transaction_id", "left")
         .groupBy("line_id", "inventory_item_id", "ship_from_org_id")
         .agg(
             F.count(F.when(issue, 1)).alias("issued"),
@@ -251,7 +253,7 @@ def order_sides(t: Tables, parts: Sequence[str], only: DataFrame | None = None)
     )
     names = F.coalesce("type_times", F.lit(1))
     once = F.when(F.col("part") == "Part2", F.lit(1).cast("decimal(9,0)")).otherwise(names)
-    return (
+    sides = (
         joined.select("ship_from_org_id", "order_line", "line_type_id", F.explode(F.array_compact(F.array(*rows))).alias("side"))
         .select(F.col("ship_from_org_id").alias("plant"), "order_line", "line_type_id", "side.*")
         .join(kinds, "line_type_id", "left")
@@ -263,6 +265,12 @@ def order_sides(t: Tables, parts: Sequence[str], only: DataFrame | None = None)
         )
         .withColumn("has_order_line", F.lit(True))
     )
+    if not {"Part2", "Part6"} <= set(parts):
+        return sides
+    known = lines.select(F.col("line_id").alias("order_key"))
+    models = lines.select(F.col("top_model_line_id").alias("order_key")).filter(F.col("order_key").isNotNull()).distinct()
+    absent = models.join(known, "order_key", "left_anti")
+    return sides.unionByName(absent, allowMissingColumns=True)
 
 
 def _with_dimensions(t: Tables, rows: DataFrame) -> DataFrame:

@@ -249,7 +249,8 @@ def sales_rep_dimension(t: Tables) -> DataFrame:
     """One row per rep: title, team, roll-up and manager, from lakehouse tables.
 
     Of several team memberships the one with a missing delete flag wins, then N, then Y; equal
-    flags are decided by the team id. The first-row filter is applied before the shuffle too,
+    flags are decided by the team id, then by name, title and manager, of which there may be one
+    per language. The first-row filter is applied before the shuffle too,
     so a rep with very many memberships sends one row per task.
     """
     lookups = t["fnd_lookup_values"]
@@ -288,7 +289,10 @@ def sales_rep_dimension(t: Tables) -> DataFrame:
         )
     )
     first = Window.partitionBy("salesrep_id").orderBy(
-        F.asc_nulls_first("delete_flag"), F.asc_nulls_first("team_id"), F.asc_nulls_first("team_member_id")
+        *[
+            F.asc_nulls_first(c)
+            for c in ("delete_flag", "team_id", "team_member_id", "team", "rollup_team", "title", "manager")
+        ]
     )
     return rows.withColumn("r", F.row_number().over(first)).filter("r = 1").select(
         *fixed.SALES_REP_DIMENSION_COLUMNS

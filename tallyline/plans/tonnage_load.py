@@ -12,7 +12,6 @@ from tallyline.functions.text import numeric_key, order_from_job, value_map
 from tallyline.operators.bounds import scan_bounds
 from tallyline.operators.joins import spread_join
 from tallyline.operators.lookups import checked, several_values
-from tallyline.operators.state import period_replace
 from tallyline.operators.units import with_unit_rate
 from tallyline.plans.product_lines import ITEM, item_product_lines
 from tallyline.plans.sales_org import rep_team
@@ -20,6 +19,8 @@ from tallyline.plans.tonnage_report import pounds
 from tallyline.sources.tables import Tables
 
 ANY_TEAM = "*"
+#: The fact's columns, and the accounting period by which the stored table is partitioned.
+STORED_COLUMNS = (*fixed.TONNAGE_FACT_COLUMNS, "period_name")
 TONS = "decimal(24,9)"
 
 
@@ -27,10 +28,20 @@ TONS = "decimal(24,9)"
 
 def first_backfill_window(t: Tables, last_period: str, first_period: str = fixed.FIRST_TONNAGE_PERIOD) -> tuple[Column, Column]:
     """Bounds of a first load: the named first month up to the end of the chosen period."""
+    return period_month(F.lit(first_period)), fiscal_window(t, last_period)[1]
+
+
+def _in_window(low: Column, high: Column) -> Column:
+    """Periods whose month begins inside a window; names that are no month are outside."""
+    month = period_month(F.col("period_name"))
+    return F.coalesce((month >= low) & (month <= high), F.lit(False))
+
+
+def fiscal_window(t: Tables, period_name: str) -> tuple[Column, Column]:
     fiscal = t["gl_periods"].filter(
-        (F.col("period_set_name") == fixed.FISCAL_CALENDAR) & (F.col("period_name") == last_period)
+        (F.col("period_set_name") == fixed.FISCAL_CALENDAR) & (F.col("period_name") == period_name)
     )
-    return period_month(F.lit(first_period)), fiscal.agg(F.max("end_date")).scalar()
+    return fiscal.agg(F.max("start_date")).scalar(), fiscal.agg(F.max("end_date")).scalar()
 
 
 def period_calendar(t: Tables, low: Column, high: Column, organizations: tuple[int, ...]) -> DataFrame:
@@ -40,12 +51,12 @@ def period_calendar(t: Tables, low: Column, high: Column, organizations: tuple[i
     equi join on (plant, day): no plant, however large, is one join key. A day that two periods
     share appears twice and doubles its transactions, as the closing day is inclusive.
     """
-    month = period_month(F.col("period_name"))
-    days = F.sequence(F.col("period_start_date").cast("date"), F.col("schedule_close_date").cast("date"))
+    first, last = F.col("period_start_date").cast("date"), F.col("schedule_close_date").cast("date")
     return (
         t["org_acct_periods"]
-        .filter(F.col("organization_id").isin(*organizations) & (month >= low) & (month <= high))
-        .select("organization_id", "period_name", F.explode(days).alias("day"))
+        # a period that closes before it starts has no days (a sequence would count down)
+        .filter(F.col("organization_id").isin(*organizations) & _in_window(low, high) & (last >= first))
+        .select("organization_id", "period_name", F.explode(F.sequence(first, last)).alias("day"))
     )
 
 
@@ -290,19 +301,14 @@ def tonnage_rows(t: Tables, low: Column, high: Column, organizations: tuple[int,
             "_copy": copies,
         }
     )
-    return full.select(*fixed.TONNAGE_FACT_COLUMNS)
+    return full.select(*STORED_COLUMNS)
 
 
 def tonnage_load(
     t: Tables, period_name: str, organizations: tuple[int, ...] = fixed.TONNAGE_ORGANIZATIONS
 ) -> DataFrame:
     """One fiscal period's rows of the fact."""
-    fiscal = t["gl_periods"].filter(
-        (F.col("period_set_name") == fixed.FISCAL_CALENDAR) & (F.col("period_name") == period_name)
-    )
-    return tonnage_rows(
-        t, fiscal.agg(F.max("start_date")).scalar(), fiscal.agg(F.max("end_date")).scalar(), organizations
-    )
+    return tonnage_rows(t, *fiscal_window(t, period_name), organizations)
 
 
 def tonnage_backfill(
@@ -322,6 +328,7 @@ def tonnage_refresh(
     requested: str | None,
     as_of: dt.date,
     *,
+    first_load: bool | None = None,
     initial_flag: str | None = None,
     first_period: str = fixed.FIRST_TONNAGE_PERIOD,
     organizations: tuple[int, ...] = fixed.TONNAGE_ORGANIZATIONS,
@@ -348,4 +355,4 @@ def tonnage_refresh(
     if requested not in (None, current):
         return target
     fresh = tonnage_load(t, current, organizations)
-    return period_replace(target, fresh, "trans_month", current, key="transaction_id")
+    return target.filter(~_in_window(*fiscal_window(t, current))).unionByName(fresh.select(*target.columns))

@@ -1,15 +1,19 @@
 """Writing results: whole tables, single periods, temporary views.
 
-A period is replaced with a *static* partition overwrite: an empty result clears the
-period, and no other period is touched. The new rows are computed before anything is
-removed, so a job that fails leaves the old period in place.
+A period is replaced by Spark's dynamic partition overwrite: the new rows are written to a
+staging folder beside the table and take the old ones' place when the job commits, so a job
+that fails, or reads the table it writes, leaves the old period in place until then. On
+stores without atomic renames the commit itself is not atomic; use a table format there.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+
+# fixed value: characters that are escaped in the names of partition folders
+ESCAPED = "\"#%'*/:=?\\\x7f{[]^"
 
 
 def publish_view(df: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
@@ -41,9 +45,25 @@ def write_history(df: DataFrame, path: str, period: str) -> None:
     df.hint("rebalance", period).write.partitionBy(period).mode("overwrite").parquet(path)
 
 
-def replace_period(df: DataFrame, path: str, period: str, value: str) -> None:
-    """Swap one period's directory of a partitioned parquet table."""
-    df.drop(period).write.mode("overwrite").parquet(f"{path}/{period}={value}")
+def partition_folder(path: str, period: str, value: object) -> str:
+    """Folder of one partition value, named the way Hive and Spark name it."""
+    if value is None or value == "":
+        return f"{path}/{period}=__HIVE_DEFAULT_PARTITION__"
+    text = "".join(f"%{ord(c):02X}" if c in ESCAPED or ord(c) < 32 or ord(c) == 127 else c for c in str(value))
+    return f"{path}/{period}={text}"
+
+
+def replace_period(df: DataFrame, path: str, period: str, value: object) -> None:
+    """Swap one period of a partitioned parquet table; an empty result clears the period, no other period is touched."""
+    rows = df.drop(period)
+    written = Observation()
+    stamped = rows.withColumn(period, F.lit(value) if value is not None else F.lit(None).cast("string"))
+    observed = stamped.observe(written, F.count(F.lit(1)).alias("n"))
+    observed.write.partitionBy(period).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    if not written.get["n"]:
+        # a dynamic overwrite touches only periods that get rows
+        nothing = df.sparkSession.createDataFrame([], rows.schema)
+        nothing.write.mode("overwrite").parquet(partition_folder(path, period, value))
 
 
 def reliable_checkpoint(df: DataFrame, spark: SparkSession, fallback: str | None = None) -> DataFrame:

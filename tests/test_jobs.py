@@ -128,7 +128,7 @@ def test_tonnage_refresh_policy(spark, tables):
         transaction_id="bigint", transaction_date="timestamp_ntz", qty=fact.TONS, transaction_source_id="bigint",
         wip_entity_id="bigint",
     )
-    schema = ", ".join(f"{c} {kinds.get(c, 'string')}" for c in fixed.TONNAGE_FACT_COLUMNS)
+    schema = ", ".join(f"{c} {kinds.get(c, 'string')}" for c in fact.STORED_COLUMNS)
     old = spark.createDataFrame([], schema).unionByName(
         spark.createDataFrame([("MAY-98", 1), ("JUN-98", 2)], "trans_month string, transaction_id bigint"), allowMissingColumns=True
     )
@@ -154,6 +154,59 @@ def test_static_partition_overwrite(spark, tmp_path):
     assert cut.count() == 2
 
 
+def test_refresh_of_a_full_load_is_the_full_load(tables):
+    """The closing day of a period is the first day of the next one: its transactions count in both."""
+    full = fact.tonnage_backfill(tables, catalog.LAST_PERIOD, catalog.FIRST_PERIOD)
+    shared = full.groupBy("transaction_id").agg(F.countDistinct("period_name").alias("n")).filter("n > 1")
+    assert shared.count() > 0
+    for month in (dt.date(1998, 6, 15), dt.date(1998, 7, 1), dt.date(1997, 2, 3)):
+        refreshed = fact.tonnage_refresh(tables, full, None, month, first_load=False)
+        assert refreshed.exceptAll(full).count() == 0 and full.exceptAll(refreshed).count() == 0
+
+
+def test_reversed_period_has_no_days(spark, tables):
+    rows = spark.createDataFrame(
+        [(82, "FEB-98", dt.datetime(1998, 2, 1), dt.datetime(1998, 1, 29)), (82, "MAR-98", dt.datetime(1998, 3, 1), dt.datetime(1998, 3, 2))],
+        "organization_id int, period_name string, period_start_date timestamp_ntz, schedule_close_date timestamp_ntz",
+    )
+    low, high = F.lit(dt.date(1998, 1, 1)), F.lit(dt.date(1998, 12, 1))
+    days = fact.period_calendar(t=tables.with_tables(org_acct_periods=rows), low=low, high=high, organizations=(82,))
+    assert {r.period_name for r in days.collect()} == {"MAR-98"} and days.count() == 2
+
+
+def test_a_period_is_swapped_only_by_a_job_that_succeeds(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    schema = "id bigint, m string"
+    sinks.write_history(spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "x/y=z")], schema), path, "m")
+
+    def stored():
+        return {(r.id, r.m) for r in spark.read.schema(schema).parquet(path).collect()}
+
+    failing = spark.range(3).select(F.raise_error(F.lit("no")).cast("bigint").alias("id"), F.lit("a").alias("m"))
+    with pytest.raises(Exception, match="no"):
+        sinks.replace_period(failing, path, "m", "a")
+    assert stored() == {(1, "a"), (2, "b"), (3, None), (4, "x/y=z")}
+    own = spark.read.schema(schema).parquet(path).filter("m = 'a'").withColumn("id", F.col("id") + 10)
+    sinks.replace_period(own, path, "m", "a")
+    assert stored() == {(11, "a"), (2, "b"), (3, None), (4, "x/y=z")}
+    rows = spark.createDataFrame([(7, "any")], schema)
+    sinks.replace_period(rows, path, "m", None)
+    sinks.replace_period(rows, path, "m", "x/y=z")
+    assert stored() == {(11, "a"), (2, "b"), (7, None), (7, "x/y=z")}
+    for value in (None, "x/y=z"):
+        sinks.replace_period(rows.limit(0), path, "m", value)
+    assert stored() == {(11, "a"), (2, "b")}
+
+
+def test_refresh_limits_transactions_and_their_accounts(tables):
+    def semi_joins(months):
+        rows = margin.order_line_transactions(tables, margin.asked_order_lines(tables, months) if months else None)
+        return [x for x in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "LeftSemi" in x]
+
+    assert not semi_joins(None)
+    assert any("(transaction_id" in x for x in semi_joins(catalog.MONTH)) and any("(line_id" in x for x in semi_joins(catalog.MONTH))
+
+
 def test_table_sinks(spark):
     rows = spark.createDataFrame([(1, "a")], "id bigint, m string")
     sinks.replace_table(rows, "stored_rows", provider="parquet")
