@@ -37,6 +37,10 @@ def _in_window(low: Column, high: Column) -> Column:
     return F.coalesce((month >= low) & (month <= high), F.lit(False))
 
 
+def current_period(as_of: dt.date) -> str:
+    return f"{fixed.MONTH_NAMES[as_of.month - 1]}-{as_of:%y}"
+
+
 def fiscal_window(t: Tables, period_name: str) -> tuple[Column, Column]:
     fiscal = t["gl_periods"].filter(
         (F.col("period_set_name") == fixed.FISCAL_CALENDAR) & (F.col("period_name") == period_name)
