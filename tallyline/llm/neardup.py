@@ -9,8 +9,9 @@ Bands of registers give candidate pairs. Equal texts are one node from the start
 of a bucket is compared with the bucket's leader and with its neighbours in a random order, which needs a fixed number of pairs per
 node and joins almost all of a large group. Only buckets that then still hold several groups are looked at again: there every pair
 of nodes of different groups is a candidate (a pair within a group cannot change any class). Large buckets go through in blocks of
-nodes, each pair of blocks a small task of its own, and only pairs whose signatures agree in 0.66 of the registers leave it: a pair
-of similarity 0.8 does so with probability 0.9999. Candidates of both passes are verified on their whole texts: they are linked if
+nodes, each pair of blocks a small task of its own. Only pairs whose signatures agree in 0.66 of the registers go on, which a pair of
+similarity 0.8 does with probability 0.9999, and in buckets of more than 64 nodes only those whose shingles, shortened to 32 bits,
+are similar enough but for a hair and do not lie in one group through links found before. Candidates of both passes are verified on their whole texts: they are linked if
 the probability Jaccard similarity, or the plain one of the distinct shingles, reaches the threshold. Classes are the connected
 components of the links, found by star contraction on written tables.
 
@@ -29,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tallyline.llm.store import small_or_not, written
-from tallyline.llm.words import U64, counted_shingles, mix
+from tallyline.llm.words import U64, counted_shingles, mix, shingle_hashes, word_hashes
 
 SIZE, THRESHOLD = 5, 0.8
 #: 25 bands of 5 registers: a pair of similarity 0.8 meets in some band with probability 0.99995, one of 0.85 with 0.999999.
@@ -38,6 +39,8 @@ BANDS, ROWS = 25, 5
 AGREE = 0.66
 #: Nodes of a block of a bucket, and neighbours that a node is compared with in the first pass.
 BLOCK, NEIGHBOURS = 1000, 2
+#: Nodes of a bucket from which its pairs are compared by short shingles before they leave their task, and the hair.
+LARGE, HAIR = 64, 0.005
 _FLUSH = 200_000
 #: Characters of texts whose shingles a verifying task keeps at hand.
 _KEEP = 8_000_000
@@ -149,15 +152,41 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) -
     )
 
 
-def _across(bands: int, rows: int, agree: float):
+def _shorten(size: int):
+    """Shingles of each text shortened to 32 bits, sorted, repeats included."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            short = [np.sort((shingle_hashes(word_hashes(t.encode())[0], size) >> U64(32)).astype(np.uint32)).tobytes() for t in batch["text"]]
+            yield pd.DataFrame({"node": batch["id"], "short": short})
+
+    return run
+
+
+def _nearness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """The larger of both similarities; without repeats both are the plain one."""
+    if a[1].max() == b[1].max() == 1:
+        common = len(a[0]) + len(b[0]) - len(np.union1d(a[0], b[0]))
+        return common / (len(a[0]) + len(b[0]) - common)
+    return max(similarity(a, b))
+
+
+def _across(bands: int, rows: int, agree: float, threshold: float):
     """Pairs of nodes of different groups within one bucket's pair of blocks, from rows sorted by (key, i, j)."""
 
     def pairs(group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates("node")
-        node, root, block = (group[c].to_numpy() for c in ("node", "root", "block"))
+        node, root, block = (group[c].to_numpy().copy() for c in ("node", "root", "block"))
         sig = np.frombuffer(b"".join(group["sig"]), np.uint16).reshape(len(node), bands * rows)
-        i, j = group["i"].iat[0], group["j"].iat[0]
-        band = None
+        i, j, band = (group[c].iat[0] for c in ("i", "j", "band"))
+        short = group["short"].tolist()
+        sets: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+        def counted(k: int) -> tuple[np.ndarray, np.ndarray]:
+            if k not in sets:
+                sets[k] = np.unique(np.frombuffer(short[k], np.uint32), return_counts=True)
+            return sets[k]
+
         found = []
         for x in np.flatnonzero(block == i):
             other = root != root[x]
@@ -165,12 +194,17 @@ def _across(bands: int, rows: int, agree: float):
             y = np.flatnonzero(other)
             same = sig[y] == sig[x]
             y, same = (z[same.mean(axis=1) >= agree] for z in (y, same))
-            if len(y):
-                # a pair is told once: in the first band that it shares
-                met = same.reshape(len(y), bands, rows).all(axis=2)
-                band = group["band"].iat[0]
-                y = y[met.argmax(axis=1) == band]
-                found += [(min(node[x], z), max(node[x], z)) for z in node[y]]
+            if not len(y):
+                continue
+            # a pair is told once: in the first band that it shares
+            met = same.reshape(len(y), bands, rows).all(axis=2)
+            for k in y[met.argmax(axis=1) == band]:
+                if short[x] is not None and short[k] is not None:
+                    if root[k] == root[x] or (near := _nearness(counted(x), counted(k))) < threshold - HAIR:
+                        continue
+                    if near >= threshold + HAIR:
+                        root[root == root[k]] = root[x]
+                found.append((min(node[x], node[k]), max(node[x], node[k])))
         return pd.DataFrame(found, columns=["a", "b"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -238,7 +272,7 @@ def near_duplicates(
     blocks = F.ceil(F.col("n") / BLOCK)
     shared = bucket.join(count.where("lead <> most").drop("most"), "key")
     shared = shared.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), blocks))
-    shared = written(shared.drop("n"), "buckets")
+    shared = written(shared, "buckets")
     wanted = shared.select(F.col("node").alias("id")).distinct()
     texts = written(docs.select("id", "text").join(small_or_not(wanted), "id", "left_semi").distinct(), "texts")
 
@@ -251,14 +285,20 @@ def near_duplicates(
     root = components(links)
     grouped = shared.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = grouped.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    grouped = grouped.join(mixed.select("key"), "key").join(sketch.groupBy(F.col("id").alias("node")).agg(F.any_value("sig").alias("sig")), "node")
+    grouped = grouped.join(mixed.select("key"), "key")
+    grouped = grouped.join(sketch.groupBy(F.col("id").alias("node")).agg(F.any_value("sig").alias("sig")), "node")
+    large = small_or_not(grouped.where(F.col("n") > LARGE).select(F.col("node").alias("id")).distinct())
+    short = texts.join(large, "id", "left_semi").mapInPandas(_shorten(size), "node long, short binary")
+    # an id with several texts has no one set of shingles: its pairs all go on
+    short = short.groupBy("node").agg(F.any_value("short").alias("short"), F.count("*").alias("texts")).where("texts = 1").drop("texts")
+    grouped = grouped.join(short, "node", "left").withColumn("short", F.when(F.col("n") > LARGE, F.col("short")))
     # every pair of blocks i <= j of a bucket gets the nodes of both
     span = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
         lambda x: F.struct(F.least(x, "block").alias("i"), F.greatest(x, "block").alias("j")),
     )
-    tasks = grouped.select("key", "band", "node", "root", "block", "sig", F.inline(span)).repartition("key", "i", "j")
-    across = tasks.sortWithinPartitions("key", "i", "j", "node").mapInPandas(_across(bands, rows, AGREE), "a long, b long")
+    tasks = grouped.select("key", "band", "node", "root", "block", "sig", "short", F.inline(span)).repartition("key", "i", "j")
+    across = tasks.sortWithinPartitions("key", "i", "j", "node").mapInPandas(_across(bands, rows, AGREE, threshold), "a long, b long")
     rest = across.join(near, ["a", "b"], "left_anti")
     links = written(links.union(_verified(rest, texts, size, threshold)), "links").distinct()
 

@@ -100,6 +100,8 @@ def copies(prose):
 @pytest.mark.parametrize("block", [1000, 2])
 def test_classes_equal_brute_force(make_docs, copies, block, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "LARGE", block)
+    monkeypatch.setattr(neardup, "NEIGHBOURS", 1)
     classes = neardup.near_duplicates(make_docs(copies.items()))[0]
     assert {r["doc_id"]: r["class_id"] for r in classes.collect()} == brute_classes(copies)
 
