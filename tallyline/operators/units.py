@@ -7,8 +7,12 @@ else NULL.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
+from tallyline.operators.joins import spread_join
+
 RATE = "decimal(10,5)"
 
 
@@ -30,8 +34,12 @@ def with_unit_rate(
     from_uom: str,
     to_uom: str | None = None,
     to_literal: str | None = None,
+    spread_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Add the rate from one unit to another (a column, or one fixed unit)."""
+    """Add the rate from one unit to another (a column, or one fixed unit).
+
+    ``spread_by`` names what rows without an item are spread by.
+    """
     target = F.lit(to_literal) if to_uom is None else F.col(to_uom)
     if to_uom is None:
         rates = rates.filter(F.col("to_uom") == to_literal)
@@ -46,9 +54,10 @@ def with_unit_rate(
     general = general_rates(rates).withColumnsRenamed({"from_uom": "_from", "to_uom": "_to"})
     keyed = df.withColumns({"_item": F.col(item), "_from": F.col(from_uom), "_to": target})
     same = F.when(F.col("_from") == F.col("_to"), F.lit(1).cast(RATE))
+    key = ["_item", "_from", "_to"]
+    with_own = spread_join(keyed, own, key, spread_by) if spread_by else keyed.join(own, key, "left")
     return (
-        keyed.join(own, ["_item", "_from", "_to"], "left")
-        .join(general, ["_from", "_to"], "left")
+        with_own.join(general, ["_from", "_to"], "left")
         .withColumn(out, F.coalesce("own_rate", "general_rate", same).cast(RATE))
         .drop("_item", "_from", "_to", "own_rate", "general_rate")
     )

@@ -37,7 +37,7 @@ from tallyline.functions.money import (
 from tallyline.functions.text import join_text, numeric_key
 from tallyline.operators.costs import COST_COLUMNS, cost_by_transaction
 from tallyline.operators.joins import spread_join
-from tallyline.operators.lookups import scalar_lookup
+from tallyline.operators.lookups import checked, one_row_per_key
 from tallyline.operators.units import with_unit_rate
 from tallyline.sources.tables import Tables
 
@@ -323,10 +323,15 @@ def _with_dimensions(t: Tables, rows: DataFrame) -> DataFrame:
     )
     item_keys = ["inventory_item_id", "warehouse_id"]
     line = ["customer_trx_line_id"]
-    with_item = spread_join(named, items, item_keys, spread_by=line)
-    with_category = scalar_lookup(
-        with_item, item_category, item_keys, ["category_id"], spread_by=line
+    # category and weight in pounds meet the item at item grain, so the lines are joined once; an item in
+    # several categories fails the job only if a line asks for it
+    items = with_unit_rate(
+        items, t["uom_rates"], "to_pounds", item="inventory_item_id", from_uom="weight_uom_code", to_literal="LB"
     )
+    items = items.join(one_row_per_key(item_category, item_keys, ["category_id"]), item_keys, "left")
+    with_item = spread_join(named, items, item_keys, spread_by=line)
+    category = checked(F.col("category_id"), F.coalesce("_ambiguous", F.lit(False)), "category_id", item_keys)
+    with_category = with_item.withColumn("category_id", category).drop("_ambiguous")
     found = F.col("has_item").isNotNull()
     return with_category.join(categories, "category_id", "left").filter(
         F.col("query_identifier").isin(*WITHOUT_ORDER_LINE)
@@ -395,19 +400,15 @@ def margin_rows(
 
 
 def market_quantity(t: Tables, rows: DataFrame) -> DataFrame:
-    """Add the quantity in pounds; 0 when a unit cannot be converted."""
+    """Add the quantity in pounds; 0 when a unit cannot be converted. ``to_pounds`` came with the item."""
     in_primary = with_unit_rate(
         rows, t["uom_rates"], "to_primary",
-        item="inventory_item_id", from_uom="uom_code", to_uom="primary_uom_code",
-    )
-    in_pounds = with_unit_rate(
-        in_primary, t["uom_rates"], "to_pounds",
-        item="inventory_item_id", from_uom="weight_uom_code", to_literal="LB",
+        item="inventory_item_id", from_uom="uom_code", to_uom="primary_uom_code", spread_by=["customer_trx_line_id"],
     )
     each = (F.col("unit_weight") * F.col("to_pounds")).cast("decimal(18,9)")
     converted = (F.col("quantity") * F.col("to_primary")).cast("decimal(20,9)") * each
     value = F.when(F.col("uom_code") == "LB", F.col("quantity")).otherwise(converted)
-    return in_pounds.withColumn(
+    return in_primary.withColumn(
         "market_quantity", F.coalesce(value, F.lit(0)).cast("decimal(24,6)")
     ).drop("to_primary", "to_pounds")
 
