@@ -37,7 +37,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def small_or_not(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
     """A narrow join side, broadcast if it is counted and found small; otherwise left to a shuffle join, with the same result."""
-    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+    return F.broadcast(df) if df.count() <= most_rows else df
 
 
 def package_for_workers(spark: SparkSession) -> None:
