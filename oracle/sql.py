@@ -701,13 +701,8 @@ QUERIES = {
         select cust_account_id, line_of_business, cast(summary_date as varchar) as summary_date,
                {_doubles(['pa_cost'], 10)} from project_cost""",
     "account_plan": _interface({}, "new_plan o"),
-    "period_replace": _interface({}, "account_plan_interface o", "o.summary_date<>date '1998-06-01'")
-    + " union all "
-    + _interface(
-        {"customer_account_id": "b.cust_account_id", "account_number": "null",
-         **{n: "null" for n in MEASURES}, "line_of_business": "b.line_of_business",
-         "summary_date": "b.summary_date", "pa_revenue": "b.pa_revenue"},
-        "revenue b", "b.summary_date=date '1998-06-01'"),
+    "period_replace": "select * replace (cast(if(summary_date='1998-06-01', 2, 1) as bigint) as request_id) from ("
+    + _detail(DETAIL) + ")",
     "upsert_measures": _interface(
         {"customer_account_id": "coalesce(o.customer_account_id, b.cust_account_id)",
          "line_of_business": "coalesce(o.line_of_business, b.line_of_business)",

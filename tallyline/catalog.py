@@ -162,14 +162,9 @@ def account_plan(t: Tables) -> DataFrame:
 
 
 def period_replace(t: Tables) -> DataFrame:
-    old = _interface(t)
-    fresh = projects.project_revenue(t, MONTH).withColumnRenamed("cust_account_id", "customer_account_id")
-    absent = [c for c in old.columns if c not in fresh.columns]
-    filled = fresh.select(
-        *[F.col(c).cast(old.schema[c].dataType) for c in old.columns if c in fresh.columns],
-        *[F.lit(None).cast(old.schema[c].dataType).alias(c) for c in absent],
-    )
-    return state.period_replace(old, filled, "summary_date", MONTH[0])
+    """One month of the stored margin detail, reloaded by a later request."""
+    fresh = margin.om_detail(t, MONTH, as_of=MOMENT, request_id=2)
+    return state.period_replace(detail(t), fresh, "summary_date", MONTH[0])
 
 
 def upsert_measures(t: Tables) -> DataFrame:
