@@ -300,9 +300,11 @@ def near_duplicates(
     tasks = grouped.select("key", "band", "node", "root", "block", "sig", "short", F.inline(span)).repartition("key", "i", "j")
     across = tasks.sortWithinPartitions("key", "i", "j", "node").mapInPandas(_across(bands, rows, AGREE, threshold), "a long, b long")
     rest = across.join(near, ["a", "b"], "left_anti")
-    links = written(links.union(_verified(rest, texts, size, threshold)), "links").distinct()
+    new = written(_verified(rest, texts, size, threshold), "links")
+    links = links.union(new).distinct()
 
-    root = components(links)
+    # the first pass's stars stand for all its links
+    root = components(root.select(F.col("node").alias("a"), F.col("root").alias("b")).union(new.select("a", "b")))
     ends = links.select(F.col("a").alias("node")).union(links.select("b"))
     degree = ends.groupBy("node").agg(F.count("*").alias("n_links"))
     known = node.select("digest", "node").join(root, "node", "left").join(degree, "node", "left")
