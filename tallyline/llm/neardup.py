@@ -3,14 +3,16 @@
 A document is the weighted set of its five-word shingles, the weight being how often a shingle stands in it. Each shingle is a
 Poisson process whose rate is its weight; every arrival picks a register at random, and a register keeps the shingle that arrives
 first. Two signatures then agree in a register with the probability Jaccard similarity of the two documents. A document stops
-drawing arrivals as soon as they come later than all its registers.
+drawing arrivals as soon as they come later than all its registers. A document in which a shingle stands more than once has a second
+signature, from the same processes at rate 1; two such signatures agree with the plain Jaccard similarity of the distinct shingles. A
+document without repeated shingles has one signature for both.
 
-Bands of registers give candidate pairs. Equal texts are one node from the start, so copies never pair. In a first pass each node
+Bands of registers of either signature give candidate pairs. Equal texts are one node from the start, so copies never pair. In a first pass each node
 of a bucket is compared with the bucket's leader and with its neighbours in a random order, which needs a fixed number of pairs per
 node and joins almost all of a large group. Only buckets that then still hold several groups are looked at again: there every pair
 of nodes of different groups is a candidate (a pair within a group cannot change any class). Large buckets go through in blocks of
-nodes, each pair of blocks a small task of its own. Only pairs whose signatures agree in 0.66 of the registers go on, which a pair of
-similarity 0.8 does with probability 0.9999, and in buckets of more than 64 nodes only those whose shingles, shortened to 32 bits,
+nodes, each pair of blocks a small task of its own. Only pairs whose counted or whose plain signatures agree in 0.66 of the registers
+go on, which a pair of similarity 0.8 does with probability 0.9999, and in buckets of more than 64 nodes only those whose shingles, shortened to 32 bits,
 are similar enough but for a hair and do not lie in one group through links found before. Candidates of both passes are verified on their whole texts: they are linked if
 the probability Jaccard similarity, or the plain one of the distinct shingles, reaches the threshold. Classes are the connected
 components of the links, found by star contraction on written tables.
@@ -90,14 +92,19 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 def _sketch(bands: int, rows: int, size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def flush() -> pd.DataFrame:
-            flat = signatures([s for _, s in held], bands * rows)
-            sig, low = flat.reshape(len(held), bands, rows), flat.astype(np.uint16)
+            repeats = [k for k, (_, (_, n)) in enumerate(held) if n.max() > 1]
+            plain = [(held[k][1][0], np.ones(len(held[k][1][0]))) for k in repeats]
+            flat = signatures([s for _, s in held] + plain, bands * rows)
+            sig, low = flat.reshape(len(flat), bands, rows), flat.astype(np.uint16)
             key = np.zeros(sig.shape[:2], U64)
             for k in range(rows):
                 key = mix(key * U64(0xD6E8FEB86659FD93) + sig[:, :, k])
             key = mix(key + np.arange(bands, dtype=U64)).view(np.int64)
+            keys, sigs = list(key[: len(held)]), [x.tobytes() for x in low[: len(held)]]
+            for at, k in enumerate(repeats, len(held)):
+                keys[k], sigs[k] = np.concatenate((keys[k], key[at])), sigs[k] + low[at].tobytes()
             names = {"id": [i for (i, _), _ in held], "digest": [d for (_, d), _ in held]}
-            return pd.DataFrame(names | {"keys": list(key), "sig": [x.tobytes() for x in low]})
+            return pd.DataFrame(names | {"keys": keys, "sig": sigs})
 
         held: list = []
         weight = 0
@@ -177,7 +184,9 @@ def _across(bands: int, rows: int, agree: float, threshold: float):
     def pairs(group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates("node")
         node, root, block = (group[c].to_numpy().copy() for c in ("node", "root", "block"))
-        sig = np.frombuffer(b"".join(group["sig"]), np.uint16).reshape(len(node), bands * rows)
+        # counted and plain signature; a document with one has it for both
+        whole = 4 * bands * rows
+        sig = np.frombuffer(b"".join(s if len(s) == whole else s * 2 for s in group["sig"]), np.uint16).reshape(len(node), 2, bands * rows)
         i, j, band = (group[c].iat[0] for c in ("i", "j", "band"))
         short = group["short"].tolist()
         sets: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -193,11 +202,11 @@ def _across(bands: int, rows: int, agree: float, threshold: float):
             other &= (block == j) if i != j else (np.arange(len(node)) > x)
             y = np.flatnonzero(other)
             same = sig[y] == sig[x]
-            y, same = (z[same.mean(axis=1) >= agree] for z in (y, same))
+            y, same = (z[same.mean(axis=2).max(axis=1) >= agree] for z in (y, same))
             if not len(y):
                 continue
-            # a pair is told once: in the first band that it shares
-            met = same.reshape(len(y), bands, rows).all(axis=2)
+            # a pair is told in the first band that it shares by either signature
+            met = same.reshape(len(y), 2, bands, rows).all(axis=3).any(axis=1)
             for k in y[met.argmax(axis=1) == band]:
                 if short[x] is not None and short[k] is not None:
                     if root[k] == root[x] or (near := _nearness(counted(x), counted(k))) < threshold - HAIR:
@@ -267,7 +276,7 @@ def near_duplicates(
     )
     sketch = written(sketch, "sketches")
     node = sketch.groupBy("digest").agg(F.min("id").alias("node"), F.any_value("keys").alias("keys"))
-    bucket = node.select("node", F.posexplode("keys").alias("band", "key")).distinct()
+    bucket = node.select("node", F.posexplode("keys").alias("band", "key")).withColumn("band", F.col("band") % bands).distinct()
     count = bucket.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("most"), F.count("*").alias("n"))
     blocks = F.ceil(F.col("n") / BLOCK)
     shared = bucket.join(count.where("lead <> most").drop("most"), "key")
@@ -299,7 +308,8 @@ def near_duplicates(
     )
     tasks = grouped.select("key", "band", "node", "root", "block", "sig", "short", F.inline(span)).repartition("key", "i", "j")
     across = tasks.sortWithinPartitions("key", "i", "j", "node").mapInPandas(_across(bands, rows, AGREE, threshold), "a long, b long")
-    rest = across.join(near, ["a", "b"], "left_anti")
+    # a band that a pair shares by both signatures may be two buckets
+    rest = across.distinct().join(near, ["a", "b"], "left_anti")
     new = written(_verified(rest, texts, size, threshold), "links")
     links = links.union(new).distinct()
 

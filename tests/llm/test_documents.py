@@ -7,6 +7,7 @@ from itertools import combinations
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from compare import duck, duck_rows, rows_of, spark_rows
 
@@ -106,6 +107,33 @@ def test_classes_equal_brute_force(make_docs, copies, block, monkeypatch):
     assert {r["doc_id"]: r["class_id"] for r in classes.collect()} == brute_classes(copies)
 
 
+def with_repeated_line(prose, times):
+    """Texts and copies of them whose last line stands often: plain similarity 0.98, probability Jaccard near 0.1."""
+    bases = [prose(200) for _ in range(6)]
+    return {2 * k + c: text + (" " + " ".join(text.split()[-10:])) * (times * c) for k, text in enumerate(bases) for c in (0, 1)}
+
+
+@pytest.mark.parametrize("block", [1000, 1])
+def test_copies_that_repeat_a_line_are_found(make_docs, prose, block, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    texts = with_repeated_line(prose, 200)
+    prob, plain = brute_similarity(*(shingles(texts[k]) for k in (0, 1)))
+    assert prob < 0.2 and plain > 0.9
+    classes = neardup.near_duplicates(make_docs(texts.items()))[0]
+    assert {r["doc_id"]: r["class_id"] for r in classes.collect()} == brute_classes(texts) == {k: k - k % 2 for k in texts}
+
+
+def test_second_pass_tells_pairs_alike_by_their_plain_signature(prose):
+    texts = with_repeated_line(prose, 200)
+    rows = pd.DataFrame({"id": [0, 1], "digest": ["", ""], "text": [texts[0], texts[1]]})
+    sketch = next(neardup._sketch(25, 5, 5)(iter([rows])))
+    keys = [np.resize(k, (2, 25)) for k in sketch["keys"]]
+    band = int(np.flatnonzero((keys[0] == keys[1]).any(axis=0))[0])
+    group = pd.DataFrame({"key": 1, "i": 0, "j": 0, "band": band, "node": [0, 1], "root": [0, 1], "block": 0, "sig": sketch["sig"], "short": None})
+    found = pd.concat(neardup._across(25, 5, neardup.AGREE, 0.8)(iter([group])))
+    assert found.values.tolist() == [[0, 1]]
+
+
 def test_near_duplicates_of_odd_rows(make_docs, odd_rows):
     docs = make_docs(odd_rows)
     classes = neardup.near_duplicates(docs)[0]
