@@ -1,10 +1,11 @@
 """Licence scan with a positional index of rare licence words.
 
 Templates (phrases and notice texts) are indexed by word: each word lists the templates and offsets where it stands. How many
-documents hold each template word is counted over the whole corpus; a template is entered by its rarest words. A file's words are
-looked up in that index; every place of an entry word fixes where the template would begin, so the posting lists of its words are
-intersected by relative position. A place counts if enough template words stand where they should and every mandatory key phrase
-stands there word by word.
+documents hold each template word is counted over the whole corpus; a template is entered by the rarest word of its key phrases. As
+these must stand word by word, no place is lost by that. A file's words are looked up in that index; where the key phrase of an entry
+word stands, it fixes where the template begins. The template's words are then aligned with the file's, in order, each at most as many
+words off its place as the template may miss; a place counts if enough of them are found. A template without a key phrase in its text
+is entered by its rarest words, one more than may be missing.
 
 The index has one entry per template word and is bounded by the templates, which are a parameter; only it reaches the tasks.
 
@@ -76,8 +77,8 @@ NOTICES = (
     Template("epl-2.0", "made available under the terms of the eclipse public license 2 0", ("eclipse public license",)),
     Template("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software",)),
 )
-#: Rarest words by which a template is entered, and words by which a word may stand off its place in a notice.
-ENTRIES, SHIFT = 3, 1
+#: Words by which a word may stand off its place in any notice; in long ones as many as the notice may miss.
+SHIFT = 1
 
 
 def _vocabulary(templates: Sequence[Template]) -> np.ndarray:
@@ -104,6 +105,11 @@ def document_frequencies(documents: DataFrame, templates: Sequence[Template]) ->
     return {r["word"] % 2**64: r["n"] for r in rows}
 
 
+def _places_of(phrase: np.ndarray, words: np.ndarray) -> list[int]:
+    """All places where the phrase stands word by word."""
+    return [i for i in range(len(words) - len(phrase) + 1) if np.array_equal(words[i : i + len(phrase)], phrase)]
+
+
 class Index:
     """Templates ready for look-up: entry words, sorted, each with the templates and offsets it opens."""
 
@@ -111,38 +117,62 @@ class Index:
         self.templates = templates
         self.words = [word_hashes(t.text.encode())[0] for t in templates]
         self.keys = [[word_hashes(k.encode())[0] for k in t.keys] for t in templates]
-        entries: dict[int, list[tuple[int, int]]] = {}
+        missing = [int(len(w) * (1 - t.share) + 1e-9) for t, w in zip(templates, self.words, strict=True)]
+        self.missing = missing
+        self.shift = [0 if t.base else max(SHIFT, m) for t, m in zip(templates, missing, strict=True)]
+        # per entry word: template, offset of the word, offset and end of the key phrase around it (none: the word alone)
+        entries: dict[int, list[tuple[int, int, int, int]]] = {}
         for n, words in enumerate(self.words):
-            rarest = sorted({int(w) for w in words}, key=lambda w: (frequencies.get(w, 0), w))
-            for word in rarest[: 1 if templates[n].base else ENTRIES]:
-                entries.setdefault(word, []).extend((n, int(i)) for i in np.flatnonzero(words == np.uint64(word)))
+            rank = {int(w): (frequencies.get(int(w), 0), int(w)) for w in words}
+            placed = [(k, at) for k in self.keys[n] if len(k) and (at := _places_of(k, words))]
+            if placed:
+                word, key, at = min(((int(w), k, at) for k, at in placed for w in k), key=lambda x: rank[x[0]])
+                inside = np.flatnonzero(key == np.uint64(word)).tolist()
+                entries.setdefault(word, []).extend((n, i + k, i, i + len(key)) for i in at for k in inside)
+            else:
+                for i in sorted(range(len(words)), key=lambda i: (rank[int(words[i])], i))[: missing[n] + 1]:
+                    entries.setdefault(int(words[i]), []).append((n, i, i, i))
         self.entry = np.array(sorted(entries), np.uint64)
         self.opens = [entries[int(w)] for w in self.entry]
 
     def starts(self, hashes: np.ndarray) -> dict[int, set[int]]:
-        """Per template the places where one of its entry words says that it begins."""
+        """Per template the places where one of its key phrases, or without one an entry word, says that it begins."""
         at = np.minimum(np.searchsorted(self.entry, hashes), len(self.entry) - 1)
         begin: dict[int, set[int]] = {}
-        for place in np.flatnonzero(self.entry[at] == hashes):
-            for template, offset in self.opens[at[place]]:
-                begin.setdefault(template, set()).add(int(place) - offset)
+        for place in np.flatnonzero(self.entry[at] == hashes).tolist():
+            for template, offset, low, high in self.opens[at[place]]:
+                start = place - offset
+                if low == high:
+                    shift = self.shift[template]
+                    begin.setdefault(template, set()).update(range(start - shift, start + shift + 1))
+                elif start + low >= 0 and np.array_equal(hashes[start + low : start + high], self.words[template][low:high]):
+                    begin.setdefault(template, set()).add(start)
         return begin
 
     def share(self, hashes: np.ndarray, template: int, start: int) -> float:
-        """Share of the template's words that stand at their places from `start` on; notices allow a shift by SHIFT words."""
-        words = self.words[template]
-        shift = 0 if self.templates[template].base else SHIFT
-        there = np.zeros(len(words), bool)
-        for s in range(-shift, shift + 1):
-            place = np.arange(len(words)) + start + s
-            inside = (place >= 0) & (place < len(hashes))
-            there[inside] |= hashes[place[inside]] == words[inside]
-        return float(there.mean())
+        """Share of the template's words that stand in order from `start` on, each at most `shift` words off its place."""
+        words, shift = self.words[template], self.shift[template]
+        if start >= 0 and np.array_equal(hashes[start : start + len(words)], words):
+            return 1.0
+        low = start - shift
+        near = hashes[max(0, low) : max(0, start + len(words) + shift)].tolist()
+        low = max(0, low)
+        # longest common subsequence within the band
+        before = [0] * (len(near) + 1)
+        for i, word in enumerate(words.tolist()):
+            now = [0]
+            for j, there in enumerate(near):
+                most = max(before[j + 1], now[j])
+                if there == word and abs(low + j - start - i) <= shift:
+                    most = max(most, before[j] + 1)
+                now.append(most)
+            before = now
+        return before[-1] / len(words)
 
     def has_keys(self, hashes: np.ndarray, template: int, start: int) -> bool:
-        low, high = max(0, start - SHIFT), start + len(self.words[template]) + SHIFT
-        near = hashes[low:high].tobytes()
-        return all(any(near[i : i + k.nbytes] == k.tobytes() for i in range(0, len(near) - k.nbytes + 1, 8)) for k in self.keys[template])
+        shift = self.shift[template]
+        near = hashes[max(0, start - shift) : max(0, start + len(self.words[template]) + shift)]
+        return all(bool(_places_of(k, near)) for k in self.keys[template])
 
     def places(self, hashes: np.ndarray) -> list[tuple[int, int, float]]:
         """(template, start, share) of all places, by template and start."""
@@ -150,7 +180,7 @@ class Index:
         for template, begin in sorted(self.starts(hashes).items()):
             for start in sorted(begin):
                 share = self.share(hashes, template, start)
-                if share >= self.templates[template].share and self.has_keys(hashes, template, start):
+                if round(share * len(self.words[template])) >= len(self.words[template]) - self.missing[template] and self.has_keys(hashes, template, start):
                     found.append((template, start, share))
         return found
 

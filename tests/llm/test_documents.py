@@ -185,6 +185,67 @@ def test_licences_equal_brute_force(make_docs, odd_rows):
     assert licenses.scan_licenses(make_docs(odd_rows).limit(0)).count() == 0
 
 
+def brute_labels(w):
+    """Labels of the notices whose key phrase stands and of whose words at most a fifth are missing, by trying every place."""
+    found = set()
+    for t in licenses.NOTICES:
+        x, k = t.text.split(), t.keys[0].split()
+        off = next(i for i in range(len(x)) if x[i : i + len(k)] == k)
+        may = len(x) // 5
+        shift = max(1, may)
+        for start in (i - off for i in range(len(w)) if w[i : i + len(k)] == k):
+            best = defaultdict(int)
+            for i in range(len(x)):
+                for j in range(max(0, start - shift), min(len(w), start + len(x) + shift)):
+                    hit = best[i - 1, j - 1] + 1 if x[i] == w[j] and abs(j - start - i) <= shift else 0
+                    best[i, j] = max(best[i - 1, j], best[i, j - 1], hit)
+            if max(best.values()) >= len(x) - may:
+                found.add(t.label)
+    return found
+
+
+def test_altered_notices_equal_brute_force():
+    draw = np.random.default_rng(11)
+    frequencies = {}
+    index = licenses.Index(licenses.NOTICES, frequencies)
+    hits = 0
+    for t in licenses.NOTICES:
+        x, key = t.text.split(), t.keys[0].split()
+        off = next(i for i in range(len(x)) if x[i : i + len(key)] == key)
+        free = [i for i in range(len(x)) if not off <= i < off + len(key)]
+        for _ in range(60):
+            w = list(x)
+            for i in draw.choice(free, min(len(free), int(draw.integers(0, 6))), replace=False) if free else ():
+                w[i] = "other"
+            for _ in range(int(draw.integers(0, 4))):
+                w.insert(int(draw.choice([*range(off + 1), *range(off + len(key), len(w) + 1)])), "extra")
+            w = ["before"] * int(draw.integers(0, 3)) + w + ["after"] * int(draw.integers(0, 3))
+            got = {index.templates[n].label for n, _, _ in index.places(word_hashes(" ".join(w).encode())[0])}
+            assert got == brute_labels(w), w
+            hits += bool(got)
+    assert hits > 300
+
+
+@pytest.mark.parametrize("changed", [(8, 12, 20), (10, 11, 13, 15)])
+def test_notice_is_found_without_its_rarest_words(changed):
+    t = next(t for t in licenses.NOTICES if t.label == "bsd")
+    w = t.text.split()
+    rare = {int(word_hashes(w[i].encode())[0][0]) for i in changed}
+    frequencies = {int(h): int(int(h) not in rare) for h in word_hashes(t.text.encode())[0]}
+    for i in changed:
+        w[i] = f"new{i}"
+    index = licenses.Index([t], frequencies)
+    assert [s for _, s, _ in index.places(word_hashes(" ".join(w).encode())[0])] == [0]
+
+
+def test_template_without_key_phrase_is_found_by_what_is_left():
+    t = licenses.Template("x", "one two three four five six seven eight nine ten", ())
+    index = licenses.Index([t], {})
+    for gone in combinations(range(10), 2):
+        w = ["new" if i in gone else x for i, x in enumerate(t.text.split())]
+        assert 0 in {s for _, s, _ in index.places(word_hashes(" ".join(w).encode())[0])}
+
+
 # ---- decontamination -------------------------------------------------------------
 
 
