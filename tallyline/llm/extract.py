@@ -7,8 +7,10 @@ of the number of pages: 1 if every page differs, 0 if all are alike. Branches wi
 `least_pages` pages of the host have, and whose importance is below `threshold`, are site furniture and cut from every page.
 
 Entropy alone cannot tell furniture that rotates from an article that does not, and needs many pages of a host. So elements whose tag,
-role or class names their purpose (menus, headers, footers, sidebars, notices, adverts, forms, comments) are cut in any case, and on
-pages that mark their article only the article is kept. Plain text elements (paragraphs, headings, lists) are never cut by entropy.
+role or class names their purpose (menus, headers, footers, sidebars, notices, adverts, forms, comments) are cut in any case; a class or
+id names it only as a whole word of the attribute. A marked article below such an element is kept if it holds more text than all that
+lies outside of such elements. On pages that mark their article only the article is kept, unless plain text elements outside hold more
+text than it. Plain text elements (paragraphs, headings, lists) are never cut by entropy.
 
 Text: character references are decoded, white space within a block becomes one space, blocks are trimmed and joined in page order by
 one line end, empty blocks fall away. Unclosed elements end where the next block or their parent ends.
@@ -21,7 +23,7 @@ from __future__ import annotations
 
 import html as references
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import pandas as pd
@@ -61,16 +63,17 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_NAME = re.compile(r"[a-z]+")
 
 
 class Block(NamedTuple):
-    """Text of one block; its branch and those above it that may be cut; furniture by purpose; within a marked article."""
+    """Text of one block; its branch and those above it that may be cut; furniture by purpose; within a marked article; that article
+    lies within furniture."""
 
     text: str
     branches: tuple[str, ...]
     furniture: bool
     article: bool
+    inside: bool
 
 
 class _Open(NamedTuple):
@@ -78,6 +81,7 @@ class _Open(NamedTuple):
     branches: tuple[str, ...]
     furniture: bool
     article: bool
+    inside: bool
 
 
 def _attributes(more: str) -> dict[str, str]:
@@ -87,20 +91,21 @@ def _attributes(more: str) -> dict[str, str]:
 def _opened(tag: str, more: str, above: _Open) -> _Open:
     found = _attributes(more)
     names = " ".join((found.get("class", ""), found.get("id", ""))).lower()
-    furniture = above.furniture or tag in FURNITURE or found.get("role", "").lower() in FURNITURE_ROLES
+    inside = above.inside or (tag in ARTICLE and above.furniture)
+    furniture = (above.furniture and tag not in ARTICLE) or tag in FURNITURE or found.get("role", "").lower() in FURNITURE_ROLES
     if names.strip() and tag not in ARTICLE and tag not in ("html", "body") and not re.fullmatch("h[1-6]", tag):
-        furniture = furniture or not FURNITURE_NAMES.isdisjoint(_NAME.findall(names))
+        furniture = furniture or not FURNITURE_NAMES.isdisjoint(names.split())
     branches = above.branches
     if tag in BLOCK and tag not in ("html", "body") and len(branches) < DEEPEST:
         own = tag + "".join(f".{n}" for n in sorted(set(names.split())))
         own = own if len(own) <= 60 else f"{tag}.{xxhash.xxh3_64_hexdigest(own)}"
         branches = (*branches, f"{branches[-1] if branches else ''}/{own}")
-    return _Open(tag, branches, furniture, above.article or tag in ARTICLE)
+    return _Open(tag, branches, furniture, above.article or tag in ARTICLE, inside)
 
 
 def blocks_of(page: str) -> list[Block]:
     """All non-empty blocks of a page in page order."""
-    root = _Open("", (), False, False)
+    root = _Open("", (), False, False, False)
     stack, text, found, at = [root], [], [], 0
 
     def close_block() -> None:
@@ -108,7 +113,7 @@ def blocks_of(page: str) -> list[Block]:
         text.clear()
         if joined:
             top = stack[-1]
-            found.append(Block(joined, top.branches, top.furniture, top.article))
+            found.append(Block(joined, top.branches, top.furniture, top.article, top.inside))
 
     def pop_to(depth: int) -> None:
         if any(o.tag in BLOCK or o.furniture != stack[depth - 1].furniture for o in stack[depth:]):
@@ -168,10 +173,18 @@ def can_be_cut(branch: str) -> bool:
 
 
 def main_text(page: str, cut: frozenset[str] = frozenset()) -> str:
-    blocks = [b for b in blocks_of(page) if not b.furniture]
-    if any(b.article for b in blocks):
-        blocks = [b for b in blocks if b.article]
-    return "\n".join(b.text for b in blocks if cut.isdisjoint(b.branches))
+    blocks = [b for b in blocks_of(page) if not b.furniture and cut.isdisjoint(b.branches)]
+
+    def size(some: Iterable[Block]) -> int:
+        return sum(len(b.text) for b in some)
+
+    if size(b for b in blocks if b.inside) <= size(b for b in blocks if not b.inside):
+        blocks = [b for b in blocks if not b.inside]
+    articles = [b for b in blocks if b.article]
+    plain = (b for b in blocks if not b.article and b.branches and b.branches[-1].rpartition("/")[2] in TEXTUAL)
+    if articles and size(articles) >= size(plain):
+        blocks = articles
+    return "\n".join(b.text for b in blocks)
 
 
 def site_branches(pages: DataFrame) -> DataFrame:

@@ -40,6 +40,20 @@ def test_only_the_article_where_one_is_marked():
     assert extract.main_text("<div>promo</div><article><p>a<p>b<aside>c</aside></article><div>more</div>") == "a\nb"
 
 
+@pytest.mark.parametrize("name", ["class='content has-sidebar'", "id='page-header-fixed'", "class=post-share-enabled", "class='widget-area-none no-comments'", "class='content widget'"])
+def test_names_count_as_whole_words_and_never_lose_a_marked_article(name):
+    assert extract.main_text(f"<div {name}><article><h1>a</h1><p>b</article><div class='x ad'>c</div></div>") == "a\nb"
+    if name != "class='content widget'":
+        assert extract.main_text(f"<div {name}><p>text</div>") == "text"
+
+
+def test_articles_within_furniture_or_smaller_than_the_text_are_not_the_page():
+    long = "a long paragraph of the page itself"
+    assert extract.main_text(f"<form><article><p>{long}</article></form>") == long
+    assert extract.main_text(f"<main><p>{long}</main><aside><article>teaser</article></aside>") == long
+    assert extract.main_text(f"<p>{long}</p><article>teaser</article><p>{long}") == f"{long}\nteaser\n{long}"
+
+
 @pytest.mark.parametrize("page", ["", "<", "<<p>>", "<p", "</p></div>", "&#x;&bogus;", "<!-- open", "<script>open", "<div>" * 3000 + "deep", '<a href="x>y'])
 def test_broken_pages_do_not_fail(page):
     assert isinstance(extract.main_text(page), str)
