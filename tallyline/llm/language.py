@@ -10,8 +10,8 @@ A text gets the language of the lowest cross-entropy per character. Rejection is
 texts give each language a level, and a text is rejected if it lies well above the level of its language, short texts being allowed
 more, or if it has no letters.
 
-Bounds: at most `most_languages` languages (an error tells if there are more) and, per language, the `most_grams` most frequent
-grams; more are pruned, which only makes the model smoother. The model's arrays therefore have a fixed largest size.
+All grams of all languages are kept: none is pruned. The model's arrays are built on the driver and grow with the distinct grams times
+the languages; a model that does not fit in memory fails.
 
 Defined results: null text or one without letters is `und` with score 0. Ties go to the language first in code point order. With no
 training text every document is `und`. Repeated rows get equal results; a null doc_id counts as the text '' in the split. Extra
@@ -25,13 +25,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallyline.llm.words import U64, mix
 
 ORDER = 4
 UND = "und"
-MOST_LANGUAGES, MOST_GRAMS = 64, 200_000
 #: Rejection: the share of a language's training texts (of LONG letters or more) that must lie below its level, nats on top of that
 #: level, and nats times the square root of a text's length that chance may add.
 CALIBRATED, LONG, MARGIN, SCATTER = 0.999, 100, 0.7, 8.0
@@ -188,14 +187,10 @@ class Identifier:
         return entropy is None or entropy > self.limits.get(language, np.inf) + SCATTER / np.sqrt(n)
 
 
-def train(documents: DataFrame, most_languages: int = MOST_LANGUAGES, most_grams: int = MOST_GRAMS) -> Identifier:
+def train(documents: DataFrame) -> Identifier:
     """Learn from text and language of all documents with a language that are not held out, then calibrate on the same documents."""
     training = documents.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    best = W.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    kept = gram_counts(training).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= most_grams)
-    kept = kept.select("lang", "gram", "n").toPandas()
-    if kept["lang"].nunique() > most_languages:
-        raise ValueError(f"{kept['lang'].nunique()} languages; at most {most_languages} are allowed")
+    kept = gram_counts(training).toPandas()
     found = {lang: (part["gram"].to_numpy().view(U64), part["n"].to_numpy()) for lang, part in kept.groupby("lang")}
     identifier = Identifier(found)
     if found:

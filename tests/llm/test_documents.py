@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -397,6 +398,19 @@ def test_language_of_odd_rows(make_docs, odd_rows):
     assert language.identify(make_docs(odd_rows).limit(0)).count() == 0
 
 
+def test_all_grams_and_languages_are_learned(make_docs):
+    draw = np.random.default_rng(2)
+    many = "".join(map(chr, draw.integers(0x4E00, 0x9F00, 230_000)))
+    words_of = ["".join(map(chr, draw.integers(97, 123, 40))) for _ in range(70)]
+    rows = [(10 * k + j, text, f"l{k:02}") for k, text in enumerate([many, *words_of]) for j in range(1 if k == 0 else 6)]
+    rows[0] = (next(i for i in range(9000, 9100) if zlib.crc32(str(i).encode()) % 5), many, "l00")
+    identifier = language.train(make_docs(rows))
+    assert len(identifier.languages) == 71
+    want = {g for text in (many, *words_of) for g in language.grams(language.letter_codes(text)).tolist()}
+    assert len(identifier.hashes) == len(want) > 200_000
+    assert identifier.judge([words_of[5]])[0][0] == "l06"
+
+
 def test_kneser_ney_probabilities_add_up_to_one():
     codes = language.letter_codes("the cat sat on the mat that the rat ate")
     gram, n = np.unique(language.grams(codes), return_counts=True)
