@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyline.llm import decontaminate, extract, language, licenses, mixing, neardup, suffixdedup, urlfilter, vptree, warc
+from tallyline.llm import decontaminate, extract, language, licenses, merkle, mixing, neardup, suffixdedup, urlfilter, vptree, warc
 from tallyline.llm.store import package_for_workers
 
 
@@ -56,9 +56,18 @@ def op10_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(merkle.build(_table(spark, sf_dir, "documents"), merkle.without_line_ends(merkle.chosen())))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_positional_decontamination": decontaminate.oracle(), "op8_warc_zstd_round_trip": warc.oracle(), "op9_source_mixing": mixing.oracle()}
+    return {
+        "op3_positional_decontamination": decontaminate.oracle(),
+        "op8_warc_zstd_round_trip": warc.oracle(),
+        "op9_source_mixing": mixing.oracle(),
+        "op11_merkle_manifest": merkle.oracle(),
+    }

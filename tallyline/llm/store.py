@@ -40,6 +40,14 @@ def small_or_not(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= most_rows else df
 
 
+def bounded_side(df: DataFrame, most_bytes: int = 64 << 20) -> DataFrame:
+    """A written join side, broadcast if its rows and strings are summed up and stay below `most_bytes`; otherwise left to a shuffle
+    join, with the same result."""
+    wide = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    row = sum(wide, F.lit(16 * (1 + len(df.columns))))
+    return F.broadcast(df) if (df.agg(F.sum(row.cast("long"))).head()[0] or 0) <= most_bytes else df
+
+
 def package_for_workers(spark: SparkSession) -> None:
     """Python workers import this package from where the driver has it, unless it is installed there anyway."""
     root = str(Path(__file__).resolve().parents[2])
