@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyline.llm import decontaminate, extract, language, licenses, merkle, mixing, neardup, suffixdedup, urlfilter, vptree, warc
+from tallyline.llm import alignment, chat, decontaminate, extract, language, licenses, merkle, mixing, neardup, suffixdedup, urlfilter, vptree, warc
 from tallyline.llm.store import package_for_workers
 
 
@@ -60,6 +60,14 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(merkle.build(_table(spark, sf_dir, "documents"), merkle.without_line_ends(merkle.chosen())))
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.read_back(chat.format_conversations(chat.planted(_table(spark, sf_dir, "conversations"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
