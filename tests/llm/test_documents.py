@@ -1,6 +1,8 @@
 """Operators on documents against brute force, and their defined results on odd rows."""
 
+import base64
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -404,21 +406,108 @@ def test_all_grams_and_languages_are_learned(make_docs):
     words_of = ["".join(map(chr, draw.integers(97, 123, 40))) for _ in range(70)]
     rows = [(10 * k + j, text, f"l{k:02}") for k, text in enumerate([many, *words_of]) for j in range(1 if k == 0 else 6)]
     rows[0] = (next(i for i in range(9000, 9100) if zlib.crc32(str(i).encode()) % 5), many, "l00")
-    identifier = language.train(make_docs(rows))
-    assert len(identifier.languages) == 71
+    model = language.train(make_docs(rows))
+    assert len(model.languages) == 71 and np.isfinite(model.limits).all()
     want = {g for text in (many, *words_of) for g in language.grams(language.letter_codes(text)).tolist()}
-    assert len(identifier.hashes) == len(want) > 200_000
-    assert identifier.judge([words_of[5]])[0][0] == "l06"
-
-
-def test_kneser_ney_probabilities_add_up_to_one():
-    codes = language.letter_codes("the cat sat on the mat that the rat ate")
-    gram, n = np.unique(language.grams(codes), return_counts=True)
-    letters = np.unique(codes)
-    model = language._Model(gram, n, len(letters))
-    for context in (language.grams(codes)[3] >> np.uint64(16), np.uint64(0x7A007A007A)):
-        asked = (np.full(len(letters), context) << np.uint64(16)) | letters
-        assert model.probability(asked).sum() == pytest.approx(1.0)
+    shards = [language._shard(model.path, k, model.discount.tobytes(), model.floor) for k in range(model.shards)]
+    assert sum(len(x.grams.hashes) for x in shards) == len(want) > 200_000
+    assert language.judge(model, [words_of[5]])[0] == ["l06"]
+
+
+def brute_model(texts, letters):
+    """Interpolated Kneser-Ney from dictionaries: probability of a gram of 1 to 4 codes."""
+    counts = [None, Counter(), Counter(), Counter(), Counter()]
+    for text in texts:
+        codes = language.letter_codes(text).tolist()
+        codes = [0] * max(0, 4 - len(codes)) + codes if codes else []
+        counts[4].update(tuple(codes[i : i + 4]) for i in range(len(codes) - 3))
+    for k in (3, 2, 1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+
+    def probability(gram):
+        if not gram:
+            return 1 / letters
+        table = counts[len(gram)]
+        ones, twos = sum(n == 1 for n in table.values()), sum(n == 2 for n in table.values())
+        discount = ones / (ones + 2 * twos) if ones else 0.5
+        same = [n for g, n in table.items() if g[:-1] == gram[:-1]]
+        lower = probability(gram[1:])
+        return (max(table[gram] - discount, 0) + discount * len(same) * lower) / sum(same) if same else lower
+
+    return probability
+
+
+@pytest.fixture(scope="module")
+def small_model(spark):
+    """Texts of two languages that are trained on as they are, and the model of them in one and in many shards."""
+    texts = {"x": ["the cat sat on the mat", "that rat ate the hat; the cat sat", "a"], "y": ["le chat est sur la table", "la table est le chat \u00e9t\u00e9"]}
+    docs = spark.createDataFrame([(k, t) for k, ts in texts.items() for t in ts], "lang string, text string")
+    counts = language.gram_counts(docs).groupBy("lang", "gram").agg({"n": "sum"}).toDF("lang", "gram", "n")
+    return texts, language.fit(counts), language.fit(counts, shard_bytes=300)
+
+
+def test_cross_entropies_equal_brute_force(small_model):
+    texts, model, cut = small_model
+    assert model.shards == 1 and cut.shards > 5
+    letters = 1 + len({c for ts in texts.values() for t in ts for c in language.letter_codes(t).tolist()})
+    by_hand = {k: brute_model(ts, letters) for k, ts in texts.items()}
+    asked = ["the cat", "le chat est sur la mat", "zzz q", "a", "t\u00e9st 7 x", "la table est le chat, the rat sat " * 3]
+    for told in (model, cut):
+        entropy, n = language.entropies(told, [*asked, None, "7 8"])
+        assert n.tolist()[-2:] == [0, 0]
+        for text, row in zip(asked, entropy):
+            codes = language.letter_codes(text).tolist()
+            codes = [0] * max(0, 4 - len(codes)) + codes
+            some = [tuple(codes[i : i + 4]) for i in range(len(codes) - 3)]
+            for k, lang in enumerate(told.languages):
+                assert row[k] == pytest.approx(-sum(np.log(by_hand[lang](g)) for g in some) / len(some), rel=1e-5)
+
+
+def test_kneser_ney_probabilities_add_up_to_one(small_model):
+    """Over all letters and the one that stands for every unseen letter, after seen and unseen contexts."""
+    texts, model, _ = small_model
+    shard = language._shard(model.path, 0, model.discount.tobytes(), model.floor)
+    letters = np.unique(np.concatenate([language.letter_codes(t) for ts in texts.values() for t in ts] + [np.array([0x7A], np.uint64)]))
+    for context in (0x74_0068_0065, 0x7A007A007A, 0x20_0074_0068):
+        asked = np.uint64(context) << np.uint64(16) | letters
+        assert np.exp(shard.logs(asked).astype(float)).sum(axis=0) == pytest.approx(np.ones(len(model.languages)), rel=1e-5)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 64])
+def test_blocks_give_the_grams_of_the_whole_text(size):
+    draw = random.Random(8)
+    for _ in range(300):
+        text = "".join(draw.choice("ab \u00e9.1\U00010400") for _ in range(draw.randint(0, 40)))
+        whole = language.letter_codes(text)
+        parts = [language.grams(b) for b in language.blocks(text, size)]
+        assert np.concatenate([*parts, np.zeros(0, np.uint64)]).tolist() == (language.grams(whole).tolist() if len(whole) else [])
+
+
+def test_rejection_both_ways(spark, make_docs, sf_dir):
+    """True documents stay, whether learned from or not, whole or cut to some words; what is no language goes."""
+    docs = spark.read.parquet(f"{sf_dir}/../sf0.01/documents.parquet")
+    model = language.train(docs)
+    rows = docs.where("text is not null and lang is not null").select("doc_id", "text", "lang").collect()
+    short = [(i, " ".join(t.split()[:n]), k) for (i, t, k), n in zip([tuple(r) for r in rows], [5, 8, 12, 20, 40] * len(rows))]
+    got = language.judged(make_docs([(i, t, k) for i, t, k in short if language.letter_codes(t).any()]), model)
+    assert got.where("rejected").count() <= 0.002 * len(short)
+    whole = language.judged(docs, model).where("n_letters > 0")
+    assert whole.where("rejected").count() <= 0.002 * len(rows)
+    draw = random.Random(9)
+    letters = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n)) for n in (150, 400, 2000)]
+    # no plain hexadecimal: the documents hold keys of it, which their languages learn
+    coded = [base64.b64encode(draw.randbytes(n)).decode() for n in (150, 600)]
+    source = ["for (int i = 0; i < n; ++i) { x[i] = foo(y[i] >> 3, &z); if (!ptr) return NULL; } #define QX 0x7f\n" * 4]
+    other = ["\u65e5\u672c\u8a9e\u306e\u6587\u7ae0\u3067\u3059" * 20]
+    assert language.judge(model, letters + coded + source + other)[-1].all()
+
+
+def test_a_language_of_one_text_has_a_level(make_docs, prose):
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5]
+    docs = make_docs([(i, prose(60), "en") for i in ids[:30]] + [(ids[30], "\u00e9t\u00e9 \u00e0 la mer", "fr"), (ids[31], "7", "none")])
+    model = language.train(docs)
+    assert model.languages == ["en", "fr"] and np.isfinite(model.limits).all()
+    assert not language.judge(model, [prose(10), "la mer \u00e9t\u00e9"])[-1].any()
 
 
 # ---- registered queries with SQL --------------------------------------------------
