@@ -21,6 +21,7 @@ their own. An empty table gives no rows. Extra columns are not read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -66,7 +67,9 @@ class Piece:
 
     def __init__(self, a_ids: np.ndarray, a_ends: np.ndarray, b_ids: np.ndarray, b_ends: np.ndarray, n_a: int, n_b: int) -> None:
         self.a_ids, self.b_ids, self.n_a, self.n_b = a_ids, b_ids, n_a, n_b
-        ends = np.union1d(a_ends[:n_a], b_ends[:n_b])
+        # two ascending runs: a stable sort merges them
+        ends = np.sort(np.concatenate((a_ends[:n_a], b_ends[:n_b])), kind="stable")
+        ends = ends[np.concatenate(([True], ends[1:] != ends[:-1]))] if len(ends) else ends
         a, b = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
         self.links = (a_ids[a] << 32) | b_ids[b]
         # a stretch ends a group where it ends a token of both, within the piece
@@ -80,12 +83,37 @@ class Piece:
 
     def fragments(self) -> tuple[int, str, str, str, str, str]:
         """Groups closed here; the ids of A and B up to the first closing; the groups closed within; the ids after the last closing."""
-        a, b = list(map(str, self.a_ids[: self.n_a].tolist())), list(map(str, self.b_ids[: self.n_b].tolist()))
-        if not len(self.a_cuts):
-            return 0, ",".join(a), ",".join(b), "", "", ""
         i, j = self.a_cuts.tolist(), self.b_cuts.tolist()
-        inner = [f"{','.join(a[p:q])}|{','.join(b[r:s])}" for p, q, r, s in zip(i, i[1:], j, j[1:], strict=False)]
-        return len(i), ",".join(a[: i[0]]), ",".join(b[: j[0]]), ";".join(inner), ",".join(a[i[-1] :]), ",".join(b[j[-1] :])
+        if not i:
+            return 0, _listed(self.a_ids[: self.n_a]), _listed(self.b_ids[: self.n_b]), "", "", ""
+        inner = _spelled(self.a_ids[i[0] : i[-1]], self.b_ids[j[0] : j[-1]], self.a_cuts[1:] - i[0], self.b_cuts[1:] - j[0])
+        tails = _listed(self.a_ids[i[-1] : self.n_a]), _listed(self.b_ids[j[-1] : self.n_b])
+        return len(i), _listed(self.a_ids[: i[0]]), _listed(self.b_ids[: j[0]]), inner, *tails
+
+
+def _listed(ids: np.ndarray) -> str:
+    return ",".join(map(str, ids.tolist()))
+
+
+@functools.cache
+def _words(size: int) -> np.ndarray:
+    """Each id with a comma, a bar and a semicolon behind it."""
+    return np.array([f"{k}{mark}".encode() for k in range(size) for mark in ",|;"])
+
+
+def _spelled(a_ids: np.ndarray, b_ids: np.ndarray, a_cuts: np.ndarray, b_cuts: np.ndarray) -> str:
+    """`a,a|b;a|b,b` for the groups that end at the cuts: every id is put in its place with the mark that follows it."""
+    if not len(a_cuts):
+        return ""
+    group_a, group_b = (np.repeat(np.arange(len(c)), np.diff(c, prepend=0)) for c in (a_cuts, b_cuts))
+    marked = np.empty(len(a_ids) + len(b_ids), np.int64)
+    a, b = a_ids * 3, b_ids * 3
+    a[a_cuts - 1] += 1
+    b[b_cuts - 1] += 2
+    marked[np.arange(len(a)) + np.concatenate(([0], b_cuts[:-1]))[group_a]] = a
+    marked[np.arange(len(b)) + a_cuts[group_b]] = b
+    size = 1 << int(max(a_ids.max(), b_ids.max())).bit_length()
+    return _words(size)[marked].tobytes().translate(None, b"\0")[:-1].decode()
 
 
 class Stitch:
