@@ -701,6 +701,12 @@ QUERIES = {
         select cust_account_id, line_of_business, cast(summary_date as varchar) as summary_date,
                {_doubles(['pa_cost'], 10)} from project_cost""",
     "account_plan": _interface({}, "new_plan o"),
+    "stored_account_plan": _interface({}, "new_plan o"),
+    "load_ledger": """
+        select cast(cast(m as date) as varchar) as period, 'history' as run, 'done' as state, cast(0 as bigint) as rows_before,
+               count(s.summary_date) as rows_after, cast(0 as bigint) as rows_rejected, count(s.summary_date) as rows_stored, true as agrees
+        from (select unnest(generate_series(timestamp '1995-01-01', timestamp '2001-12-01', interval 1 month)) as m) x
+        left join month_summary s on s.summary_date=cast(x.m as date) group by m""",
     "period_replace": "select * replace (cast(if(summary_date='1998-06-01', 2, 1) as bigint) as request_id) from ("
     + _detail(DETAIL) + ")",
     "upsert_measures": _interface(

@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyline import fixed_values as fixed
+from tallyline import fixed_values as fixed, loads
 from tallyline.functions.dates import month_name, period_month
 from tallyline.functions.text import numeric_key, order_from_job
 from tallyline.operators import lookups, quality, state, units
@@ -21,7 +21,9 @@ from tallyline.plans import (
     account_plan as plan, invoice_stage as stage, margin, projects, sales_org, tonnage_load as fact,
     tonnage_report as report,
 )
+from tallyline.sources import load_log
 from tallyline.sources.adapters import adapted_tables
+from tallyline.sources.sinks import shared_folder, write_history
 from tallyline.sources.tables import Tables
 
 AS_OF = dt.date(1998, 6, 15)
@@ -156,11 +158,33 @@ def account_plan(t: Tables) -> DataFrame:
         t, _interface(t), periods,
         orders=margin.om_month_summary(detail(recent, refresh=True)),
         billing=margin.project_billing(recent, None, FREIGHT_ITEM),
-        revenue=projects.project_revenue(recent),
-        cost=projects.project_cost(recent),
+        revenue=projects.project_revenue(recent, few=True),
+        cost=projects.project_cost(recent, few=True),
     )
 
 
+def stored_account_plan(t: Tables) -> DataFrame:
+    """The plan as a stored table: what is there at first, refreshed by a load, and read again."""
+    target = _interface(t)
+    spark, schema = target.sparkSession, target.schema
+    path = shared_folder(spark)
+    write_history(target, path, "summary_date")
+    loads.load_account_plan(t, path, schema, as_of=MOMENT, request_id=1, freight_item=FREIGHT_ITEM)
+    return loads.stored_plan(spark, path, schema)
+
+
+def load_ledger(t: Tables) -> DataFrame:
+    """The log of a month summary's history, stored in two steps, beside what is stored."""
+    summary = margin.om_month_summary(detail(t))
+    path = shared_folder(summary.sparkSession)
+    months = [dt.date(y, m, 1) for y in YEARS for m in range(1, 13)]
+    steps = {"first": months[:42], "second": months[42:]}
+    store = loads.Store(path, "month summary", 1, "history")
+    loads.load_history(store, steps, lambda some: summary.filter(F.col("summary_date").isin(list(some))), "summary_date")
+    stored = summary.sparkSession.read.parquet(path).select(*summary.columns)
+    return load_log.audit(summary.sparkSession, store.log, store.load, stored, "summary_date")
+
+
 def period_replace(t: Tables) -> DataFrame:
     """One month of the stored margin detail, reloaded by a later request."""
     fresh = margin.om_detail(t, MONTH, as_of=MOMENT, request_id=2)
@@ -239,6 +263,8 @@ JOBS: dict[str, Job] = {
     "upsert_measures": upsert_measures,
     "reset_stale": reset_stale,
     "backfill_null": backfill_null,
+    "stored_account_plan": stored_account_plan,
+    "load_ledger": load_ledger,
     "open_periods": lambda t: plan.open_periods(t, AS_OF),
     "period_month": period_months,
     "row_quarantine": row_quarantine,

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 
 def flag_errors(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
@@ -19,6 +19,48 @@ def flag_errors(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     return df.withColumn("load_error", F.when(text != "", text))
 
 
+def declared(schema: T.StructType, required: Iterable[str] = (), lengths: Mapping[str, int] | None = None) -> T.StructType:
+    """A schema with NOT NULL columns and text lengths declared on top of its types."""
+    needed, limits = set(required), lengths or {}
+    fields = [
+        T.StructField(f.name, T.VarcharType(limits[f.name]) if f.name in limits else f.dataType, f.name not in needed)
+        for f in schema
+    ]
+    return T.StructType(fields)
+
+
+def misfit(field: T.StructField) -> tuple[Column, Column]:
+    """(the column's value in its declared type, why it does not fit or NULL)."""
+    value, kind = F.col(field.name), field.dataType
+    if isinstance(kind, (T.VarcharType, T.CharType)):
+        stored = value.cast("string")
+        size = F.length(stored)
+        text = F.concat(F.lit(f"{field.name} has "), size.cast("string"), F.lit(f" of {kind.length} characters"))
+        cause = F.when(size > kind.length, text)
+    else:
+        stored = value.try_cast(kind)
+        cause = F.when(value.isNotNull() & stored.isNull(), F.lit(f"{field.name} is no {kind.simpleString()}"))
+    if not field.nullable:
+        cause = F.coalesce(F.when(value.isNull(), F.lit(f"{field.name} is missing")), cause)
+    return stored.alias(field.name), cause
+
+
+def flag_misfits(df: DataFrame, schema: T.StructType, rules: Mapping[str, Column] | None = None) -> DataFrame:
+    """Rows in a declared schema, with ``load_error`` and ``load_row``.
+
+    ``load_error`` tells everything that keeps a row out, NULL for a good row: each column whose
+    value is missing, too long, out of range or of another kind, and each broken rule (a rule is
+    the condition for being good). ``load_row`` has the bad row as it came, as JSON, since its
+    values may not fit the schema. Extra columns are not kept. One pass, no row stops the load.
+    """
+    told = [misfit(f) for f in schema]
+    broken = [F.when(~F.coalesce(good, F.lit(False)), F.lit(name)) for name, good in (rules or {}).items()]
+    error = F.concat_ws(", ", *[cause for _, cause in told], *broken)
+    flagged = df.withColumn("load_error", F.when(error != "", error))
+    row = F.when(F.col("load_error").isNotNull(), F.to_json(F.struct(*[F.col(f.name) for f in schema]), {"ignoreNullFields": "false"}))
+    return flagged.select(*[value for value, _ in told], "load_error", row.alias("load_row"))
+
+
 def row_quarantine(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
     """(good rows, rejected rows with their errors); one bad row does not stop a load."""
     flagged = flag_errors(df, rules)

@@ -25,16 +25,22 @@ def _accounts(t: Tables, accounts: Sequence[str]) -> DataFrame:
     )
 
 
-def project_events(t: Tables, accounts: Sequence[str], months: Months) -> DataFrame:
-    """Event amounts booked on a month's last day: project × line of business × month."""
+def project_events(t: Tables, accounts: Sequence[str], months: Months, few: bool = False) -> DataFrame:
+    """Event amounts booked on a month's last day: project × line of business × month.
+
+    ``few``: the drafts are those of some months only. Then events of other drafts are dropped
+    before anything is summed; in a full run that would be a join for nothing.
+    """
     drafts = t["pa_draft_revenues_all"].filter(
         in_months(F.col("gl_date"), months) & on_last_day(F.col("gl_date"))
     ).select("project_id", "draft_revenue_num", month_start(F.col("gl_date")).alias("summary_date"))
     key = ["project_id", "draft_revenue_num"]
     items = t["pa_draft_revenue_items"].select(*key, F.col("line_num").alias("draft_revenue_item_line_num"))
+    events = t["pa_cust_event_rdl_all"]
+    if few or months is not None:
+        events = events.join(drafts.select(*key), key, "left_semi")
     return (
-        t["pa_cust_event_rdl_all"]
-        .join(_accounts(t, accounts), "code_combination_id")
+        events.join(_accounts(t, accounts), "code_combination_id")
         .groupBy(*key, "draft_revenue_item_line_num", "line_of_business")
         .agg(F.sum("amount").cast(WIDE).alias("amount"))
         .join(drafts, key)
@@ -80,13 +86,13 @@ def _by_customer(t: Tables, amounts: DataFrame, name: str) -> DataFrame:
     )
 
 
-def project_revenue(t: Tables, months: Months = None) -> DataFrame:
-    return _by_customer(t, project_events(t, fixed.PROJECT_REVENUE_ACCOUNTS, months), "pa_revenue")
+def project_revenue(t: Tables, months: Months = None, few: bool = False) -> DataFrame:
+    return _by_customer(t, project_events(t, fixed.PROJECT_REVENUE_ACCOUNTS, months, few), "pa_revenue")
 
 
-def project_cost(t: Tables, months: Months = None) -> DataFrame:
+def project_cost(t: Tables, months: Months = None, few: bool = False) -> DataFrame:
     """Sign-flipped events of the last day plus burdened cost of the whole month."""
-    events = project_events(t, fixed.PROJECT_COST_ACCOUNTS, months).withColumn(
+    events = project_events(t, fixed.PROJECT_COST_ACCOUNTS, months, few).withColumn(
         "amount", (-F.col("amount")).cast(WIDE)
     )
     return _by_customer(t, events.unionByName(project_burden(t, months)), "pa_cost")

@@ -10,6 +10,7 @@ from tallyline import fixed_values as fixed
 from tallyline.functions.dates import month_name, period_month
 from tallyline.functions.text import numeric_key, order_from_job, value_map
 from tallyline.operators.bounds import scan_bounds
+from tallyline.operators.intervals import interval_join
 from tallyline.operators.joins import spread_join
 from tallyline.operators.lookups import checked, several_values
 from tallyline.operators.units import with_unit_rate
@@ -48,19 +49,26 @@ def fiscal_window(t: Tables, period_name: str) -> tuple[Column, Column]:
     return fiscal.agg(F.max("start_date")).scalar(), fiscal.agg(F.max("end_date")).scalar()
 
 
+def periods_to_load(
+    t: Tables, last_period: str, first_period: str = fixed.FIRST_TONNAGE_PERIOD,
+    organizations: tuple[int, ...] = fixed.TONNAGE_ORGANIZATIONS,
+) -> DataFrame:
+    """Names of the accounting periods that a first load fills."""
+    window = _in_window(*first_backfill_window(t, last_period, first_period))
+    return t["org_acct_periods"].filter(F.col("organization_id").isin(*organizations) & window).select("period_name").distinct()
+
+
 def period_calendar(t: Tables, low: Column, high: Column, organizations: tuple[int, ...]) -> DataFrame:
-    """Days of the plants' accounting periods whose month begins inside a window.
+    """The plants' accounting periods whose month begins inside a window: [first_day, day_after).
 
-    One row per plant, day and period. Exploding periods to days turns the range join into an
-    equi join on (plant, day): no plant, however large, is one join key. A day that two periods
-    share appears twice and doubles its transactions, as the closing day is inclusive.
+    The closing day is inclusive: a day that two periods share doubles its transactions. A period
+    that closes before it starts has no days.
     """
     first, last = F.col("period_start_date").cast("date"), F.col("schedule_close_date").cast("date")
     return (
         t["org_acct_periods"]
-        # a period that closes before it starts has no days (a sequence would count down)
         .filter(F.col("organization_id").isin(*organizations) & _in_window(low, high) & (last >= first))
-        .select("organization_id", "period_name", F.explode(F.sequence(first, last)).alias("day"))
+        .select("organization_id", "period_name", first.alias("first_day"), F.date_add(last, 1).alias("day_after"))
     )
 
 
@@ -256,11 +264,10 @@ def completions_in_periods(t: Tables, calendar: DataFrame, organizations: tuple[
     """Completed production, once per accounting period its day lies in.
 
     The calendar's outer bounds are scalar subqueries of the date column's own type: they reach
-    the scan, the exact days are the join.
+    the scan, the exact days are the join's rest condition.
     """
     moves, when = t["mtl_material_transactions"], F.col("transaction_date")
-    day = F.col("day")
-    first, after = scan_bounds(calendar, day, F.date_add(day, 1), moves.schema["transaction_date"].dataType)
+    first, after = scan_bounds(calendar, F.col("first_day"), F.col("day_after"), moves.schema["transaction_date"].dataType)
     made = moves.filter(
         (F.col("transaction_type_id") == fixed.COMPLETION_TYPE)
         & (F.col("transaction_source_type_id") == fixed.COMPLETION_SOURCE_TYPE)
@@ -269,7 +276,8 @@ def completions_in_periods(t: Tables, calendar: DataFrame, organizations: tuple[
         & (when >= first)
         & (when < after)
     )
-    return made.withColumn("day", when.cast("date")).join(calendar, ["organization_id", "day"]).drop("day")
+    found = interval_join(made, calendar, ["organization_id"], "transaction_date", "first_day", "day_after")
+    return found.drop("first_day", "day_after")
 
 
 def tonnage_rows(t: Tables, low: Column, high: Column, organizations: tuple[int, ...]) -> DataFrame:

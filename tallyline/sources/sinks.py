@@ -1,14 +1,21 @@
-"""Writing results: whole tables, single periods, temporary views.
+"""Writing results: whole tables, single periods, views.
 
-A period is replaced by Spark's dynamic partition overwrite: the new rows are written to a
-staging folder beside the table and take the old ones' place when the job commits, so a job
-that fails, or reads the table it writes, leaves the old period in place until then. On
-stores without atomic renames the commit itself is not atomic; use a table format there.
+In a folder, a period is replaced by Spark's dynamic partition overwrite: the new rows are
+written to a staging folder beside the table and take the old ones' place when the job
+commits, so a job that fails, or reads the table it writes, leaves the old period in place
+until then. On stores without atomic renames the commit itself is not atomic.
+
+In a catalog, tables and periods are replaced by metadata: the new rows are written to a
+folder of their own, and then the table's or the partition's location is set to it. Until
+that one change readers see all old rows, after it all new ones, and a write that fails
+leaves everything as it was.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import tempfile
+import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -45,6 +52,72 @@ def write_history(df: DataFrame, path: str, period: str) -> None:
     df.hint("rebalance", period).write.partitionBy(period).mode("overwrite").parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def new_folder(root: str) -> str:
+    """A folder name nobody else uses."""
+    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the one that the cluster shares; a temporary one only where none is named, as in tests."""
+    return new_folder(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallyline-"))
+
+
+def swap_table(df: DataFrame, table: str, root: str, provider: str = "parquet") -> str:
+    """Replace all rows of a catalog table: write beside the old ones, then set the table's location.
+
+    Returns the folder that holds the rows now. The old one stays until ``drop_unused``, for
+    readers that are still on it. The columns must be those of the table.
+    """
+    spark, folder = df.sparkSession, new_folder(root)
+    if spark.catalog.tableExists(table):
+        df = df.select(*spark.table(table).columns)
+    df.write.format(provider).save(folder)
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+    else:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING {provider} LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
+    return folder
+
+
+def _partition(period: str, value: object) -> str:
+    return f"(`{period}` = NULL)" if value is None else f"(`{period}` = '{value}')"
+
+
+def swap_partitions(df: DataFrame, table: str, period: str, values: Sequence[object], root: str) -> None:
+    """Replace periods of a catalog table by metadata; the other periods are not touched.
+
+    All periods are written in one job, to a folder of their own. A period without new rows is
+    dropped from the catalog. Each period is wholly old or wholly new at any moment.
+    """
+    spark, folder = df.sparkSession, new_folder(root)
+    wanted = df.filter(F.col(period).isin([v for v in values if v is not None]) | (F.col(period).isNull() & F.lit(None in values)))
+    if not spark.catalog.tableExists(table):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (`{period}`) LOCATION '{root.rstrip('/')}/table'")
+    rest = [c for c in spark.table(table).columns if c != period]
+    wanted.select(*rest, period).hint("rebalance", period).write.partitionBy(period).parquet(folder)
+    for value in values:
+        where, at = _partition(period, value), partition_folder(folder, period, value)
+        if not exists(spark, at):
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION {where}")
+            continue
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION {where} LOCATION '{at}'")
+        spark.sql(f"ALTER TABLE {table} PARTITION {where} SET LOCATION '{at}'")
+    spark.catalog.refreshTable(table)
+
+
 def partition_folder(path: str, period: str, value: object) -> str:
     """Folder of one partition value, named the way Hive and Spark name it."""
     if value is None or value == "":
@@ -53,6 +126,27 @@ def partition_folder(path: str, period: str, value: object) -> str:
     return f"{path}/{period}={text}"
 
 
+def clear_period(df: DataFrame, path: str, period: str, value: object) -> None:
+    """Leave a period of a partitioned parquet folder without rows; ``df`` gives the columns."""
+    nothing = df.sparkSession.createDataFrame([], df.drop(period).schema)
+    nothing.write.mode("overwrite").parquet(partition_folder(path, period, value))
+
+
+def replace_periods(df: DataFrame, path: str, period: str, rows_of: Mapping[object, int]) -> None:
+    """Swap periods of a partitioned parquet folder in one job; no other period is touched.
+
+    ``rows_of`` tells how many rows each period gets: a dynamic overwrite reaches only periods
+    that get rows, so those without are cleared one by one, if they are there.
+    """
+    spark = df.sparkSession
+    if any(rows_of.values()):
+        spread = df.hint("rebalance", period)
+        spread.write.partitionBy(period).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    for value, n in rows_of.items():
+        if not n and exists(spark, partition_folder(path, period, value)):
+            clear_period(df, path, period, value)
+
+
 def replace_period(df: DataFrame, path: str, period: str, value: object) -> None:
     """Swap one period of a partitioned parquet table; an empty result clears the period, no other period is touched."""
     rows = df.drop(period)
@@ -62,8 +156,7 @@ def replace_period(df: DataFrame, path: str, period: str, value: object) -> None
     observed.write.partitionBy(period).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     if not written.get["n"]:
         # a dynamic overwrite touches only periods that get rows
-        nothing = df.sparkSession.createDataFrame([], rows.schema)
-        nothing.write.mode("overwrite").parquet(partition_folder(path, period, value))
+        clear_period(df, path, period, value)
 
 
 def reliable_checkpoint(df: DataFrame, spark: SparkSession, fallback: str | None = None) -> DataFrame:
