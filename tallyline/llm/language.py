@@ -26,7 +26,7 @@ null doc_id counts as the text '' in the split. Extra columns are not read. The
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -380,6 +380,15 @@ def fit(counts: DataFrame, shard_bytes: int = SHARD_BYTES) -> Model:
 # ---- judging ------------------------------------------------------------------------
 
 
+def parts(model: Model, batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches in small slices, so that few of their texts are Python strings at a time; whole ones where every part would load all
+    shards anew."""
+    for batch in batches:
+        size = rows if model.shards == 1 else max(1, batch.num_rows)
+        for k in range(0, batch.num_rows, size):
+            yield batch.slice(k, size)
+
+
 def entropies(model: Model, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Mean negative log probability per letter of each text in every language, and each text's number of letters."""
     sums, n = np.zeros((len(texts), len(model.languages))), np.zeros(len(texts), np.int64)
@@ -451,7 +460,7 @@ def _own_entropy(training: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         column = {lang: k for k, lang in enumerate(model.languages)}
-        for batch in batches:
+        for batch in parts(model, batches):
             entropy, n = entropies(model, batch.column("text").to_pylist())
             langs = batch.column("lang").to_pylist()
             known = [(lang, float(entropy[k, column[lang]] - SCATTER / np.sqrt(n[k]))) for k, lang in enumerate(langs) if lang in column and n[k]]
@@ -465,7 +474,7 @@ def judged(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score, entropy, n_letters and rejected for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(model, batches):
             pred, score, entropy, n, reject = judge(model, batch.column("text").to_pylist())
             columns = [pa.array(pred, pa.string()), pa.array(score), pa.array(entropy, mask=n == 0), pa.array(n), pa.array(reject)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "lang_pred", "score", "entropy", "n_letters", "rejected"])
@@ -485,7 +494,7 @@ def known_language(documents: DataFrame) -> DataFrame:
     model = train(documents)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(model, batches):
             reject = judge(model, batch.column("text").to_pylist())[-1]
             yield batch.filter(pa.array(~reject))
 

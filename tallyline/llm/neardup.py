@@ -25,10 +25,11 @@ go by a number above 2**62 made from their text); if no row of a class has an id
 from __future__ import annotations
 
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tallyline.llm.store import small_or_not, written
@@ -49,6 +50,13 @@ _KEEP = 8_000_000
 _NO_ID = 1 << 62
 
 
+def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of Arrow batches one by one: only one text at a time becomes a Python string."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield tuple(c[k].as_py() for c in batch.columns)
+
+
 def signatures(docs: list[tuple[np.ndarray, np.ndarray]], registers: int) -> np.ndarray:
     """ProbMinHash signatures of several weighted sets at once: documents x registers, each cell a shingle's hash."""
     items = np.concatenate([d[0] for d in docs])
@@ -90,8 +98,8 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def _sketch(bands: int, rows: int, size: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def flush() -> pd.DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush() -> pa.RecordBatch:
             repeats = [k for k, (_, (_, n)) in enumerate(held) if n.max() > 1]
             plain = [(held[k][1][0], np.ones(len(held[k][1][0]))) for k in repeats]
             flat = signatures([s for _, s in held] + plain, bands * rows)
@@ -103,20 +111,20 @@ def _sketch(bands: int, rows: int, size: int):
             keys, sigs = list(key[: len(held)]), [x.tobytes() for x in low[: len(held)]]
             for at, k in enumerate(repeats, len(held)):
                 keys[k], sigs[k] = np.concatenate((keys[k], key[at])), sigs[k] + low[at].tobytes()
-            names = {"id": [i for (i, _), _ in held], "digest": [d for (_, d), _ in held]}
-            return pd.DataFrame(names | {"keys": keys, "sig": sigs})
+            columns = [i for (i, _), _ in held], [d for (_, d), _ in held], keys, sigs
+            types = pa.int64(), pa.string(), pa.list_(pa.int64()), pa.binary()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["id", "digest", "keys", "sig"])
 
         held: list = []
         weight = 0
-        for batch in batches:
-            for row in zip(batch["id"], batch["digest"], batch["text"], strict=True):
-                counted = counted_shingles(row[2].encode(), size)
-                if len(counted[0]):
-                    held.append((row[:2], counted))
-                    weight += len(counted[0])
-                if weight > _FLUSH:
-                    yield flush()
-                    held, weight = [], 0
+        for row in rows_of(batches):
+            counted = counted_shingles(row[2].encode(), size)
+            if len(counted[0]):
+                held.append((row[:2], counted))
+                weight += len(counted[0])
+            if weight > _FLUSH:
+                yield flush()
+                held, weight = [], 0
         if held:
             yield flush()
 
@@ -124,7 +132,7 @@ def _sketch(bands: int, rows: int, size: int):
 
 
 def _verify(size: int, threshold: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # texts of a large group come again and again: keep the sets of the latest ones
         known: OrderedDict = OrderedDict()
         held = 0
@@ -142,11 +150,13 @@ def _verify(size: int, threshold: float):
 
         for batch in batches:
             out = []
-            for a, b, left, right in zip(batch["a"], batch["b"], batch["left"], batch["right"], strict=True):
+            for a, b, left, right in rows_of([batch]):
                 prob, plain = similarity(counted(left), counted(right))
                 if max(prob, plain) >= threshold:
                     out.append((a, b, prob, plain))
-            yield pd.DataFrame(out, columns=["a", "b", "prob_jaccard", "jaccard"])
+            columns = list(zip(*out, strict=True)) or [()] * 4
+            types = pa.int64(), pa.int64(), pa.float64(), pa.float64()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["a", "b", "prob_jaccard", "jaccard"])
 
     return run
 
@@ -154,7 +164,7 @@ def _verify(size: int, threshold: float):
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
     right = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
     both = right.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")
-    return both.select("a", "b", "left", "right").mapInPandas(
+    return both.select("a", "b", "left", "right").mapInArrow(
         _verify(size, threshold), "a long, b long, prob_jaccard double, jaccard double"
     )
 
@@ -162,10 +172,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) -
 def _shorten(size: int):
     """Shingles of each text shortened to 32 bits, sorted, repeats included."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            short = [np.sort((shingle_hashes(word_hashes(t.encode())[0], size) >> U64(32)).astype(np.uint32)).tobytes() for t in batch["text"]]
-            yield pd.DataFrame({"node": batch["id"], "short": short})
+            short = [np.sort((shingle_hashes(word_hashes(t.encode())[0], size) >> U64(32)).astype(np.uint32)).tobytes() for _, t in rows_of([batch])]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(short, pa.binary())], ["node", "short"])
 
     return run
 
@@ -186,7 +196,9 @@ def _across(bands: int, rows: int, agree: float, threshold: float):
         node, root, block = (group[c].to_numpy().copy() for c in ("node", "root", "block"))
         # counted and plain signature; a document with one has it for both
         whole = 4 * bands * rows
-        sig = np.frombuffer(b"".join(s if len(s) == whole else s * 2 for s in group["sig"]), np.uint16).reshape(len(node), 2, bands * rows)
+        known = group["sig"].notna().to_numpy()
+        sigs = [s if len(s) == whole else s * 2 for s in group["sig"].where(known, bytes(whole))]
+        sig = np.frombuffer(b"".join(sigs), np.uint16).reshape(len(node), 2, bands * rows)
         i, j, band = (group[c].iat[0] for c in ("i", "j", "band"))
         short = group["short"].tolist()
         sets: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -202,12 +214,14 @@ def _across(bands: int, rows: int, agree: float, threshold: float):
             other &= (block == j) if i != j else (np.arange(len(node)) > x)
             y = np.flatnonzero(other)
             same = sig[y] == sig[x]
-            y, same = (z[same.mean(axis=2).max(axis=1) >= agree] for z in (y, same))
+            # an id with several texts has no one signature: its pairs all go on
+            sure = known[x] & known[y]
+            y, same, sure = (z[(same.mean(axis=2).max(axis=1) >= agree) | ~sure] for z in (y, same, sure))
             if not len(y):
                 continue
             # a pair is told in the first band that it shares by either signature
             met = same.reshape(len(y), 2, bands, rows).all(axis=3).any(axis=1)
-            for k in y[met.argmax(axis=1) == band]:
+            for k in y[(met.argmax(axis=1) == band) | ~sure]:
                 if short[x] is not None and short[k] is not None:
                     if root[k] == root[x] or (near := _nearness(counted(x), counted(k))) < threshold - HAIR:
                         continue
@@ -271,7 +285,7 @@ def near_duplicates(
     a text."""
     text = F.coalesce("text", F.lit(""))
     docs = documents.select("doc_id", _own_id().alias("id"), F.md5(text).alias("digest"), text.alias("text"))
-    sketch = docs.select("id", "digest", "text").mapInPandas(
+    sketch = docs.select("id", "digest", "text").mapInArrow(
         _sketch(bands, rows, size), "id long, digest string, keys array<long>, sig binary"
     )
     sketch = written(sketch, "sketches")
@@ -295,9 +309,10 @@ def near_duplicates(
     grouped = shared.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = grouped.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     grouped = grouped.join(mixed.select("key"), "key")
-    grouped = grouped.join(sketch.groupBy(F.col("id").alias("node")).agg(F.any_value("sig").alias("sig")), "node")
+    one = F.min("digest") == F.max("digest")
+    grouped = grouped.join(sketch.groupBy(F.col("id").alias("node")).agg(F.when(one, F.any_value("sig")).alias("sig")), "node")
     large = small_or_not(grouped.where(F.col("n") > LARGE).select(F.col("node").alias("id")).distinct())
-    short = texts.join(large, "id", "left_semi").mapInPandas(_shorten(size), "node long, short binary")
+    short = texts.join(large, "id", "left_semi").select("id", "text").mapInArrow(_shorten(size), "node long, short binary")
     # an id with several texts has no one set of shingles: its pairs all go on
     short = short.groupBy("node").agg(F.any_value("short").alias("short"), F.count("*").alias("texts")).where("texts = 1").drop("texts")
     grouped = grouped.join(short, "node", "left").withColumn("short", F.when(F.col("n") > LARGE, F.col("short")))
