@@ -3,20 +3,24 @@
 Each page is read into branches: a branch is a path of block elements with their classes. All pages of a host are merged into the
 host's style tree: per branch, how many pages have it and with which contents. A branch's importance is the entropy of its contents
 over its pages, and that of its presentation (how the branch's children are laid out), whichever is larger, divided by the logarithm
-of the number of pages: 1 if every page differs, 0 if all are alike. Branches with a class or id of their own that at least
-`least_pages` pages of the host have, and whose importance is below `threshold`, are site furniture and cut from every page.
+of the number of pages: 1 if every page differs, 0 if all are alike. It is smoothed by DOUBT pages of importance 1, so that few pages
+say little and no size of a host is treated differently. Branches with a class or id of their own whose importance is below
+`threshold` are site furniture and cut from every page.
 
 Entropy alone cannot tell furniture that rotates from an article that does not, and needs many pages of a host. So elements whose tag,
-role or class names their purpose (menus, headers, footers, sidebars, notices, adverts, forms, comments) are cut in any case; a class or
-id names it only as a whole word of the attribute. A marked article below such an element is kept if it holds more text than all that
-lies outside of such elements. On pages that mark their article only the article is kept, unless plain text elements outside hold more
-text than it. Plain text elements (paragraphs, headings, lists) are never cut by entropy.
+role or class names their purpose (menus, headers, footers, sidebars, notices, adverts, forms, comments) are cut too. A class or id names
+it by a word, or by a part of a compound word (`site-header`, `commentList`), but not where the compound tells a state of the page
+(`has-sidebar`, `no-comments`). Some names are also used for what surrounds the text itself (DOUBTFUL): such an element is cut only
+if it holds no more than half of the text of its article, or else of the page. A marked article below such an element is kept if it
+holds more text than all that lies outside of such elements. On pages that mark their article only the article is kept, unless text
+elements and sentences outside hold more text than it. Plain text elements (paragraphs, headings, lists) are never cut by entropy.
 
 Text: character references are decoded, white space within a block becomes one space, blocks are trimmed and joined in page order by
 one line end, empty blocks fall away. Unclosed elements end where the next block or their parent ends.
 
-Defined results: null or empty html gives an empty text; a null url counts as the host ''. Repeated rows get equal results. Extra
-columns are not read. The table of cut branches is joined by host, broadcast only after it was counted and found small.
+Defined results: null or empty html gives an empty text; a null url counts as the host ''. Pages of any length are read whole. Rows that
+share a page_id, or have none, are pages of their own; repeated rows get equal results. Where an article and the text outside hold
+the same, the article is kept. Extra columns are not read. The table of cut branches is joined by host, broadcast only after it was counted and found small.
 """
 
 from __future__ import annotations
@@ -34,7 +38,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallyline.llm.store import small_or_not, written
 from tallyline.llm.urlfilter import host_of
 
-THRESHOLD, LEAST_PAGES = 0.1, 20
+THRESHOLD, DOUBT = 0.1, 2.0
 #: Elements nested deeper belong to the branch of their ancestor at this depth.
 DEEPEST = 64
 
@@ -57,6 +61,13 @@ FURNITURE_NAMES = frozenset(
     "social share sharing related comment comments disqus reply replies widget widgets form login search toolbar pagination pager "
     "copyright disclaimer alert".split()
 )
+DOUBTFUL = frozenset(
+    "alert banner banners form header masthead notice notices promo promotion related share sharing sidebar social widget widgets".split()
+)
+STATES = frozenset("disabled enabled fixed has hide is no none not open show sticky with without".split())
+#: Words of text outside of text elements from which it counts as a sentence.
+SENTENCE = 5
+_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<more>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+|[^>]*)>|<[!?/][^>]*>",
@@ -67,13 +78,14 @@ _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)
 
 class Block(NamedTuple):
     """Text of one block; its branch and those above it that may be cut; furniture by purpose; within a marked article; that article
-    lies within furniture."""
+    lies within furniture; the doubtful elements around it, by their numbers."""
 
     text: str
     branches: tuple[str, ...]
     furniture: bool
     article: bool
     inside: bool
+    doubtful: tuple[int, ...] = ()
 
 
 class _Open(NamedTuple):
@@ -82,25 +94,40 @@ class _Open(NamedTuple):
     furniture: bool
     article: bool
     inside: bool
+    doubtful: tuple[int, ...] = ()
 
 
 def _attributes(more: str) -> dict[str, str]:
     return {k.lower(): (a or b or c).strip() for k, a, b, c in _ATTRIBUTE.findall(more)} if "=" in more else {}
 
 
-def _opened(tag: str, more: str, above: _Open) -> _Open:
+def purposes(names: str) -> set[str]:
+    """What the words of a class or id, or the parts of compound ones, say an element is for."""
+    found: set[str] = set()
+    for name in names.split():
+        parts = {p.lower() for p in _PART.findall(name)} | {name.lower()}
+        if STATES.isdisjoint(parts):
+            found |= parts & FURNITURE_NAMES
+    return found
+
+
+def _opened(tag: str, more: str, above: _Open, number: int) -> _Open:
     found = _attributes(more)
-    names = " ".join((found.get("class", ""), found.get("id", ""))).lower()
-    inside = above.inside or (tag in ARTICLE and above.furniture)
+    named = " ".join((found.get("class", ""), found.get("id", "")))
+    names = named.lower()
+    inside = above.inside or (tag in ARTICLE and (above.furniture or bool(above.doubtful)))
     furniture = (above.furniture and tag not in ARTICLE) or tag in FURNITURE or found.get("role", "").lower() in FURNITURE_ROLES
+    doubtful = () if tag in ARTICLE else above.doubtful
     if names.strip() and tag not in ARTICLE and tag not in ("html", "body") and not re.fullmatch("h[1-6]", tag):
-        furniture = furniture or not FURNITURE_NAMES.isdisjoint(names.split())
+        purpose = purposes(named)
+        furniture = furniture or bool(purpose - DOUBTFUL)
+        doubtful = (*doubtful, number) if purpose & DOUBTFUL else doubtful
     branches = above.branches
     if tag in BLOCK and tag not in ("html", "body") and len(branches) < DEEPEST:
         own = tag + "".join(f".{n}" for n in sorted(set(names.split())))
         own = own if len(own) <= 60 else f"{tag}.{xxhash.xxh3_64_hexdigest(own)}"
         branches = (*branches, f"{branches[-1] if branches else ''}/{own}")
-    return _Open(tag, branches, furniture, above.article or tag in ARTICLE, inside)
+    return _Open(tag, branches, furniture, above.article or tag in ARTICLE, inside, doubtful)
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -113,10 +140,11 @@ def blocks_of(page: str) -> list[Block]:
         text.clear()
         if joined:
             top = stack[-1]
-            found.append(Block(joined, top.branches, top.furniture, top.article, top.inside))
+            found.append(Block(joined, top.branches, top.furniture, top.article, top.inside, top.doubtful))
 
     def pop_to(depth: int) -> None:
-        if any(o.tag in BLOCK or o.furniture != stack[depth - 1].furniture for o in stack[depth:]):
+        below = stack[depth - 1]
+        if any(o.tag in BLOCK or (o.furniture, o.doubtful) != (below.furniture, below.doubtful) for o in stack[depth:]):
             close_block()
         del stack[depth:]
 
@@ -156,8 +184,8 @@ def blocks_of(page: str) -> list[Block]:
                         break
                 elif stack[depth].tag in HOLDS_ITEMS:
                     break
-        new = _opened(tag, token["more"] or "", stack[-1])
-        if new.furniture != stack[-1].furniture:
+        new = _opened(tag, token["more"] or "", stack[-1], token.start())
+        if (new.furniture, new.doubtful) != (stack[-1].furniture, stack[-1].doubtful):
             close_block()
         stack.append(new)
     text.append(page[at:])
@@ -178,17 +206,23 @@ def main_text(page: str, cut: frozenset[str] = frozenset()) -> str:
     def size(some: Iterable[Block]) -> int:
         return sum(len(b.text) for b in some)
 
+    if any(b.doubtful for b in blocks):
+        whole, article = size(blocks), size(b for b in blocks if b.article)
+        within = {k: [b for b in blocks if k in b.doubtful] for k in {k for b in blocks for k in b.doubtful}}
+        cuts = {k for k, some in within.items() if 2 * size(some) <= (article if some[0].article else whole)}
+        blocks = [b for b in blocks if cuts.isdisjoint(b.doubtful)]
     if size(b for b in blocks if b.inside) <= size(b for b in blocks if not b.inside):
         blocks = [b for b in blocks if not b.inside]
     articles = [b for b in blocks if b.article]
-    plain = (b for b in blocks if not b.article and b.branches and b.branches[-1].rpartition("/")[2] in TEXTUAL)
+    outside = (b for b in blocks if not b.article)
+    plain = (b for b in outside if b.text.count(" ") >= SENTENCE - 1 or (b.branches and b.branches[-1].rpartition("/")[2] in TEXTUAL))
     if articles and size(articles) >= size(plain):
         blocks = articles
     return "\n".join(b.text for b in blocks)
 
 
 def site_branches(pages: DataFrame) -> DataFrame:
-    """(host, branch, pages, importance) of all branches that may be cut, over all pages."""
+    """(host, branch, pages, importance) of all branches that may be cut, over all pages; importance is not smoothed."""
 
     def observe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -223,9 +257,10 @@ def site_branches(pages: DataFrame) -> DataFrame:
     return both.select(*key, "pages", F.when(F.col("pages") > 1, most / F.log("pages")).otherwise(1.0).alias("importance"))
 
 
-def extract_main_text(pages: DataFrame, threshold: float = THRESHOLD, least_pages: int = LEAST_PAGES) -> DataFrame:
+def extract_main_text(pages: DataFrame, threshold: float = THRESHOLD, doubt: float = DOUBT) -> DataFrame:
     """page_id, url, text, n_chars for every row."""
-    low = site_branches(pages).where((F.col("pages") >= least_pages) & (F.col("importance") < threshold))
+    smoothed = (F.col("importance") * F.col("pages") + doubt) / (F.col("pages") + doubt)
+    low = site_branches(pages).where(smoothed < threshold)
     low = written(low.groupBy(F.col("host").alias("site")).agg(F.array_sort(F.collect_list("branch")).alias("cut")), "cut-branches")
     read = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host_of().alias("host"))
     read = read.join(small_or_not(low), F.col("host") == F.col("site"), "left").select("page_id", "url", "html", "cut")

@@ -1,5 +1,6 @@
 """Operators on pages and embeddings against brute force, and their defined results on odd rows."""
 
+import math
 import hashlib
 import io
 import random
@@ -54,6 +55,64 @@ def test_articles_within_furniture_or_smaller_than_the_text_are_not_the_page():
     assert extract.main_text(f"<p>{long}</p><article>teaser</article><p>{long}") == f"{long}\nteaser\n{long}"
 
 
+@pytest.mark.parametrize("name", ["cookie-banner", "site-header", "main-nav", "comment-list", "advert-slot", "sidebar-left", "newsletter_signup", "post-related", "commentList"])
+def test_compound_names_tell_a_purpose(name):
+    part = f"<div class='{name}'><p>Reader 120 says hi</p></div>"
+    assert extract.main_text(f"{part}<div><p>The story itself, told here.</p></div>{part}") == "The story itself, told here."
+    assert extract.main_text(f"<article><p>The story itself, told here.</p>{part}</article>") == "The story itself, told here."
+
+
+def test_no_text_is_lost_where_a_name_or_an_article_misleads():
+    assert extract.main_text("<article><p>teaser…</p></article><div>long main story in a plain div</div>") == "teaser…\nlong main story in a plain div"
+    assert extract.main_text("<div class='form'><p>Only text</p></div>") == "Only text"
+    assert extract.main_text("<div class='related share'><article><p>The story is told at length here.</p></article></div><div>x</div>") == "The story is told at length here."
+    assert extract.main_text("<div class='header-wide'><p>All of the page's text</p></div><form>f</form>") == "All of the page's text"
+
+
+def brute_importance(pages):
+    """The site tree of one host by counting: per branch the contents and layouts of the pages that have it."""
+    seen = {}
+    for page in pages:
+        branches = {}
+        for block in extract.blocks_of(page):
+            for branch in block.branches:
+                if extract.can_be_cut(branch) and not block.furniture:
+                    branches.setdefault(branch, []).append(block)
+        for branch, blocks in branches.items():
+            seen.setdefault(branch, []).append(("\n".join(b.text for b in blocks), "\n".join(b.branches[-1] for b in blocks)))
+    out = {}
+    for branch, told in seen.items():
+        n = len(told)
+        entropy = [-sum(told_of.count(x) / n * math.log(told_of.count(x) / n) for x in set(told_of)) for told_of in ([a for a, _ in told], [b for _, b in told])]
+        out[branch] = max(entropy) / math.log(n) if n > 1 else 1.0
+    return out
+
+
+def test_site_tree_equals_brute_force_and_decides(spark):
+    """Hosts of 1 to 60 pages of three templates: what is constant goes, more surely the more pages tell it; results follow the counted tree."""
+    def page(k, n):
+        promo = "Subscribe today and save" if k % 5 else f"Deal {k}"
+        return (
+            f"<div class=top1>Welcome to the site</div><div class=mid>{promo}</div><div class=story><p>Story {k} of host {n}</p><div class=by>By A{k % 3}</div></div>"
+            if k % 3 else f"<div class=top1>Welcome to the site</div><table class=grid><tr><td>Table {k} of host {n}</table><div class=foot9>Made by us</div>"
+        )
+
+    rows = [(100 * n + k, f"http://h{n}/{k}", page(k, n)) for n in (1, 3, 12, 25, 60) for k in range(n)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    tree = {(r["host"], r["branch"]): r["importance"] for r in extract.site_branches(df).collect()}
+    got = {r["page_id"]: r["text"] for r in extract.extract_main_text(df).collect()}
+    cut_somewhere = 0
+    for n in (1, 3, 12, 25, 60):
+        pages = {100 * n + k: page(k, n) for k in range(n)}
+        want = brute_importance(pages.values())
+        assert {b: v for (h, b), v in tree.items() if h == f"h{n}"} == pytest.approx(want)
+        having = {b: sum(any(b in x.branches for x in extract.blocks_of(p)) for p in pages.values()) for b in want}
+        cut = frozenset(b for b, v in want.items() if (v * having[b] + extract.DOUBT) / (having[b] + extract.DOUBT) < extract.THRESHOLD)
+        cut_somewhere += bool(cut)
+        assert all(got[i] == extract.main_text(p, cut) for i, p in pages.items())
+    assert cut_somewhere == 2 and got[100] != "" and "Welcome" in got[300] and "Welcome" not in got[6001] and "Story 1 of host 60" in got[6001]
+
+
 @pytest.mark.parametrize("page", ["", "<", "<<p>>", "<p", "</p></div>", "&#x;&bogus;", "<!-- open", "<script>open", "<div>" * 3000 + "deep", '<a href="x>y'])
 def test_broken_pages_do_not_fail(page):
     assert isinstance(extract.main_text(page), str)
