@@ -1,7 +1,7 @@
 """WARC archives in Zstandard: a dictionary in the leading skippable frame, one frame per record, checked when read.
 
 Writing: each task turns its rows into archives in the shared folder, named after its partition. It trains a dictionary on the first
-records of each archive (at most SAMPLE_BYTES of them), writes it as a compressed skippable frame, then one frame per record, under a
+records of each archive (at most SAMPLE_BYTES of them; none where that is fewer than 16 records), writes it as a compressed skippable frame, then one frame per record, under a
 name of its own, and moves the finished file to its place: a task that is run again puts the same file there again. Of pages with
 equal payloads of at least `revisit_bytes` bytes, the one with the largest id is a response record; the others are revisit records
 that refer to it and hold only the HTTP headers. Equal payloads are found by digest on narrow rows; the pages are not shuffled.
@@ -141,7 +141,10 @@ def read_archive(source: pa.NativeFile) -> Iterator[tuple[dict[str, str], int, b
         content = source.read(size)
         if len(content) != size:
             raise ValueError("dictionary frame cut off")
-        words = zstandard.ZstdCompressionDict(zstandard.decompress(content) if content[:4] == FRAME else content)
+        try:
+            words = zstandard.ZstdCompressionDict(zstandard.decompress(content) if content[:4] == FRAME else content)
+        except zstandard.ZstdError as error:
+            raise ValueError(f"dictionary frame: {error}") from error
         held = b""
     plain = zstandard.ZstdDecompressor(dict_data=words) if words else zstandard.ZstdDecompressor()
     n = 0
@@ -149,7 +152,10 @@ def read_archive(source: pa.NativeFile) -> Iterator[tuple[dict[str, str], int, b
         n += 1
         frame, parts = plain.decompressobj(), []
         while not frame.eof:
-            parts.append(frame.decompress(held))
+            try:
+                parts.append(frame.decompress(held))
+            except zstandard.ZstdError as error:
+                raise ValueError(f"record {n}: {error}") from error
             held = frame.unused_data if frame.eof else source.read(CHUNK)
             if not held and not frame.eof:
                 raise ValueError(f"record {n}: frame cut off")
