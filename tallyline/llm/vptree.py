@@ -121,10 +121,10 @@ def nearest(
     vectors = embeddings.where(F.col("vec_id").isNotNull()).where(usable())
     vectors = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v"), queries.alias("asks"))
     vectors = vectors.groupBy("vec_id").agg(F.min("v").alias("v"), F.bool_or("asks").alias("asks")).withColumn("size", F.size("v"))
-    n = vectors.count()
+    n, n_asked = vectors.agg(F.count(F.lit(1)), F.count_if("asks")).head()
     shards = max(1, -(-n // shard_rows))
     own = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)))
-    asked = vectors.where("asks").withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(max(1, n // 100 // QUERY_ROWS))))
+    asked = vectors.where("asks").withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(max(1, n_asked // QUERY_ROWS))))
     everywhere = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
     # a shard's vectors meet each block of queries in a task of their own
     blocks = asked.select("size", "block").distinct()

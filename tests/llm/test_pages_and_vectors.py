@@ -213,6 +213,16 @@ def test_damaged_records_are_refused(old, new):
         list(warc.read_archive(pa.BufferReader(zstandard.compress(record)[:-3])))
 
 
+def test_flipped_bytes_are_refused_with_the_records_number():
+    data = archive([warc.encode(i, f"http://x/{i}", b"some text " * 30 + str(i).encode(), None) for i in range(3)])
+    second = data.index(warc.FRAME, data.index(warc.FRAME) + 1)
+    for at in (second, second + 5, second + 20, len(data) - 5):
+        flipped = bytearray(data)
+        flipped[at] ^= 0x55
+        with pytest.raises(ValueError, match="record [123]"):
+            list(warc.read_archive(pa.BufferReader(bytes(flipped))))
+
+
 # ---- nearest neighbours ----------------------------------------------------------
 
 
@@ -247,6 +257,24 @@ def test_recall_of_the_default_factor(spark, sf_dir):
     assert len(got & want) >= 0.95 * len(want)
 
 
+def test_recall_over_several_shards(spark):
+    """Clustered vectors of 24 dimensions over six shards, 200 queries; and ids that are all asked go in small blocks."""
+    draw = np.random.default_rng(3)
+    middle = draw.normal(size=(40, 24)) * 3
+    vectors = [(100 * i, [float(x) for x in middle[i % 40] + draw.normal(size=24)]) for i in range(3000)]
+    table = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = vptree.nearest(table, F.col("vec_id") % 1500 == 0, shard_rows=500).collect()
+    x = np.array([v for _, v in vectors])
+    want = set()
+    for q in range(0, 3000, 15):
+        away = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        away[q] = np.inf
+        want |= {(100 * q, 100 * int(k)) for k in np.lexsort((np.arange(3000), away))[:10]}
+    assert len(want) == 2000 and len({(r["query_id"], r["vec_id"]) for r in got} & want) >= 0.95 * len(want)
+    exact = vptree.nearest(table, F.col("vec_id") % 1500 == 0, factor=1.0, shard_rows=500).collect()
+    assert {(r["query_id"], r["vec_id"]) for r in exact} == want
+
+
 def test_vectors_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
