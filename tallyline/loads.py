@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tallyline import fixed_values as fixed
+from tallyline.operators import cost_store
 from tallyline.operators.quality import declared, flag_misfits
 from tallyline.plans import account_plan as plan, invoice_stage, margin, projects, sales_org, tonnage_load
 from tallyline.sources import load_log
@@ -223,6 +224,37 @@ def load_rep_dimension(t: Tables, table: str, root: str, *, request_id: int | No
     return Report(n, 0, [])
 
 
+# ---- transaction costs -----------------------------------------------------------------
+
+
+def load_costs(
+    accounts: DataFrame, path: str, month: str, *, sign: str | None = None, request_id: int | None = None, log: str | None = None
+) -> Report:
+    """Add account rows to the stored transaction costs, or take them away (``sign``); see `operators/cost_store.py`.
+
+    Only the months of these account rows are read and rewritten, and no account row but these is read. An
+    increment must be loaded once: loading it again adds it again.
+    """
+    spark, report = accounts.sparkSession, Report()
+    staged = new_folder(f"{path}.staged")
+    cost_store.increment(accounts, month, sign).write.parquet(staged)
+    more = spark.read.parquet(staged)
+    months = sorted((r[0] for r in more.select("month").distinct().collect()), key=lambda m: (m is not None, m))
+    dated = [m for m in months if m is not None]
+    touched = F.col("month").isin(dated) | (F.col("month").isNull() & F.lit(None in months))
+    new = cost_store.added(stored_costs(spark, path, more.schema).filter(touched), more)
+    if months:
+        _swap_periods(new, Store(path, "transaction costs", request_id, log=log), "month", months, report)
+    remove(spark, staged)
+    return report
+
+
+def stored_costs(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The stored state; empty before the first load."""
+    stored = spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+    return stored.select(*schema.names)
+
+
 # ---- the account plan ------------------------------------------------------------------
 
 

@@ -1,13 +1,16 @@
 """Loads of stored tables, each run twice on temporary folders."""
 
 import datetime as dt
+import random
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from tallyline import catalog, fixed_values as fixed, loads
-from tallyline.operators import quality
+from tallyline.operators import cost_store, quality
+from tallyline.operators.costs import COST_COLUMNS, cost_by_transaction
 from tallyline.plans import invoice_stage, margin, tonnage_load as fact
 from tallyline.sources import load_log
 from tallyline.sources.sinks import replace_period, swap_partitions, swap_table
@@ -234,6 +237,55 @@ def test_account_plan_from_nothing_and_with_an_amount_too_large(spark, tables, t
     assert loads.stored_plan(spark, other, narrow).count() == kept.count() and kept.count() + short.rejected == stored.count()
 
 
+# ---- transaction costs -----------------------------------------------------------------
+
+
+def account_rows(spark, rows):
+    schema = "month date, transaction_id bigint, accounting_line_type int, cost_element_id int, base_transaction_value decimal(18,4), sign int"
+    return spark.createDataFrame([(m, t, k, e, None if v is None else Decimal(v), s) for m, t, k, e, v, s in rows], schema)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_cost_increments_in_any_order_equal_the_full_sum(spark, tmp_path, seed):
+    """Account rows added in parts, some changed, some taken away again; a fallback that comes and goes; no month, no value."""
+    draw = random.Random(seed)
+    months = [dt.date(2024, 1, 1), dt.date(2024, 2, 1), None]
+    rows = [
+        (months[t % 3], t, draw.choice([2, 36, 36, 7]), draw.choice([1, 2, 3, None]), draw.choice([None, "0", "1.5", "-2.25", str(draw.randint(1, 99))]), 1)
+        for t in range(40) for _ in range(draw.randint(1, 5))
+    ]
+    rows.append((months[0], 900, 2, 1, "5", 1))
+    gone = draw.sample(rows, 25) + rows[-1:]
+    changed = [(m, t, 2, e, "7.5", 1) for m, t, _, e, *_ in gone[:10]]
+    parts = [*((r,) for r in draw.sample(rows, 6))]
+    taken = {id(p[0]) for p in parts}
+    parts += [[r for r in rows if id(r) not in taken][k::3] for k in range(3)] + [[(*r[:5], -1) for r in gone], changed]
+    draw.shuffle(parts)
+    path = str(tmp_path / "costs")
+    for part in parts:
+        loads.load_costs(account_rows(spark, part), path, "month", sign="sign")
+    schema = cost_store.increment(account_rows(spark, []), "month", "sign").schema
+    stored = cost_store.costs(loads.stored_costs(spark, path, schema))
+    left = list(rows)
+    for r in gone:
+        left.remove(r)
+    full = cost_by_transaction(account_rows(spark, left + changed)).filter(" or ".join(f"{c} is not null" for c in COST_COLUMNS))
+    got = {r["transaction_id"]: tuple(r[c] for c in COST_COLUMNS) for r in stored.collect()}
+    want = {r["transaction_id"]: tuple(r[c] for c in COST_COLUMNS) for r in full.collect()}
+    assert got == want and 900 not in got
+
+
+def test_a_cost_increment_leaves_other_months_alone(spark, tmp_path):
+    path = str(tmp_path / "costs")
+    first = [(dt.date(2024, m, 1), 10 * m, 2, 1, "3", 1) for m in (1, 2, 3)]
+    loads.load_costs(account_rows(spark, first), path, "month")
+    before = files(path)
+    report = loads.load_costs(account_rows(spark, [(dt.date(2024, 2, 1), 20, 2, 1, "4", 1)]), path, "month")
+    after = files(path)
+    assert report.periods == [dt.date(2024, 2, 1)] and {f for f in after if "2024-02" not in f} == {f for f in before if "2024-02" not in f}
+    assert all(after[f] == before[f] for f in after if "2024-02" not in f) and not {f for f in after if "2024-02" in f} & set(before)
+
+
 # ---- replacement by metadata -----------------------------------------------------------
 
 
