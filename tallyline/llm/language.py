@@ -35,7 +35,7 @@ import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tallyline.llm.store import new_path, written
+from tallyline.llm.store import give_back, new_path, written
 from tallyline.llm.words import U64, mix
 
 ORDER = 4
@@ -108,6 +108,7 @@ def gram_counts(training: DataFrame) -> DataFrame:
                     if size >= BLOCK:
                         yield from out()
                         held, size = {}, 0
+            give_back()
         yield from out()
 
     rows = training.select(F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("fold"), "lang", "text")
@@ -387,6 +388,7 @@ def parts(model: Model, batches: Iterable[pa.RecordBatch], rows: int = 256) -> I
         size = rows if model.shards == 1 else max(1, batch.num_rows)
         for k in range(0, batch.num_rows, size):
             yield batch.slice(k, size)
+        give_back()
 
 
 def entropies(model: Model, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:

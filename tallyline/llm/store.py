@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import uuid
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 KEY = "spark.checkpoint.dir"
@@ -48,6 +51,13 @@ def bounded_side(df: DataFrame, most_bytes: int = 64 << 20) -> DataFrame:
     return F.broadcast(df) if (df.agg(F.sum(row.cast("long"))).head()[0] or 0) <= most_bytes else df
 
 
+def give_back() -> None:
+    """Return memory that this process has freed to the system: Python workers are kept for later stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def package_for_workers(spark: SparkSession) -> None:
     """Python workers import this package from where the driver has it, unless it is installed there anyway."""
     root = str(Path(__file__).resolve().parents[2])
