@@ -71,7 +71,7 @@ def job_orders(t: Tables) -> DataFrame:
 
 
 def period_range_join(t: Tables) -> DataFrame:
-    calendar = fact.period_calendar(t, F.lit(FIRST_DAY), F.lit(LAST_DAY), fixed.TONNAGE_ORGANIZATIONS)
+    calendar = fact.period_bounds(t, F.lit(FIRST_DAY), F.lit(LAST_DAY), fixed.TONNAGE_ORGANIZATIONS)
     return fact.completions_in_periods(t, calendar, fixed.TONNAGE_ORGANIZATIONS).select(
         "transaction_id", "organization_id", "period_name"
     )

@@ -58,7 +58,7 @@ def periods_to_load(
     return t["org_acct_periods"].filter(F.col("organization_id").isin(*organizations) & window).select("period_name").distinct()
 
 
-def period_calendar(t: Tables, low: Column, high: Column, organizations: tuple[int, ...]) -> DataFrame:
+def period_bounds(t: Tables, low: Column, high: Column, organizations: tuple[int, ...]) -> DataFrame:
     """The plants' accounting periods whose month begins inside a window: [first_day, day_after).
 
     The closing day is inclusive: a day that two periods share doubles its transactions. A period
@@ -72,6 +72,12 @@ def period_calendar(t: Tables, low: Column, high: Column, organizations: tuple[i
     )
 
 
+def period_calendar(t: Tables, low: Column, high: Column, organizations: tuple[int, ...]) -> DataFrame:
+    """The days of these periods, one row per plant, day and period; the fact is joined with the bounds instead."""
+    days = F.sequence(F.col("first_day"), F.date_sub("day_after", 1))
+    return period_bounds(t, low, high, organizations).select("organization_id", "period_name", F.explode(days).alias("day"))
+
+
 # ---------------------------------------------------------------- orders and teams
 
 def _reps_by_team(t: Tables) -> DataFrame:
@@ -281,7 +287,7 @@ def completions_in_periods(t: Tables, calendar: DataFrame, organizations: tuple[
 
 
 def tonnage_rows(t: Tables, low: Column, high: Column, organizations: tuple[int, ...]) -> DataFrame:
-    calendar = period_calendar(t, low, high, organizations)
+    calendar = period_bounds(t, low, high, organizations)
     jobs = t["wip_entities"].select(F.col("wip_entity_id").alias("transaction_source_id"), "wip_entity_name")
     lines = item_product_lines(t, structure=fixed.PRODUCT_LINE_STRUCTURE)
     # negative test: rows without a product line go too
