@@ -7,15 +7,19 @@ be small and shuffles the rest.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyline import fixed_values as fixed
 from tallyline.functions.predicates import active_on, not_deleted, strictly_not_deleted
 from tallyline.functions.text import join_text, prefix_before, value_map
+from tallyline.operators.joins import SPREAD
 from tallyline.operators.lookups import active_lookup, decode_column, scalar_lookup
 from tallyline.sources.tables import Tables
 
+REPEAT_BLOCK = 10_000
+
 
 def rep_base(t: Tables) -> DataFrame:
     """Reps of the main organisation with their resource, five resource categories."""
@@ -44,21 +48,20 @@ def group_roles(t: Tables) -> DataFrame:
     ).distinct()
 
 
-def team_members(t: Tables) -> DataFrame:
-    """Team membership of reps: through their group, or individually (distinct union)."""
-    reps = rep_base(t).select(
-        "salesrep_id", "salesrep_number", "resource_id", "resource_number", "name", "email_address"
-    )
-    teams = t["jtf_rs_teams_vl"].select(
-        "team_id", "team_number", "team_name", "team_desc",
-        F.col("attribute1").alias("manager_number"),
-        F.col("end_date_active").alias("team_end_date"),
-    )
-    links = t["jtf_rs_team_members_vl"].filter(not_deleted(F.col("delete_flag"))).select(
-        "team_member_id", "team_id", "resource_type", "category", "category_name",
-        F.col("resource_number").alias("member_number"), F.col("person_id").alias("member_person_id"),
-    )
-    group_links = (
+MEMBER_COLUMNS = (
+    "team_number team_name team_desc team_end_date manager_number team_member_id team_id resource_type "
+    "person_id category category_name resource_number name resource_id salesrep_number salesrep_id "
+    "email_address group_name group_desc"
+).split()
+GROUP_SIDE = (
+    "salesrep_id salesrep_number resource_id resource_number name email_address person_id group_name group_desc"
+).split()
+LINK_SIDE = [c for c in MEMBER_COLUMNS if c not in GROUP_SIDE]
+
+
+def _group_reps(t: Tables, columns: Sequence[str]) -> DataFrame:
+    """Reps with the groups whose reporting role they hold; ``_number`` is the group's."""
+    links = (
         t["jtf_rs_group_members_vl"]
         .filter(not_deleted(F.col("delete_flag")))
         .select("resource_number", "group_id", F.col("resource_id").alias("member_resource_id"), "person_id")
@@ -66,31 +69,104 @@ def team_members(t: Tables) -> DataFrame:
             group_roles(t).select("group_id", F.col("resource_id").alias("member_resource_id")),
             ["group_id", "member_resource_id"], "left_semi",
         )
-        .join(t["jtf_rs_groups_vl"].select("group_id", "group_number", "group_name", "group_desc"), "group_id")
+        .join(t["jtf_rs_groups_vl"].select("group_id", F.col("group_number").alias("_number"), "group_name", "group_desc"), "group_id")
     )
-    via_group = (
-        reps.join(group_links, "resource_number")
-        .join(links.filter(F.col("resource_type") == "GROUP"), F.col("group_number") == F.col("member_number"))
-        .join(teams, "team_id")
+    return _reps(t).join(links, "resource_number").select(*columns, "_number")
+
+
+def _reps(t: Tables) -> DataFrame:
+    return rep_base(t).select("salesrep_id", "salesrep_number", "resource_id", "resource_number", "name", "email_address")
+
+
+def _team_links(t: Tables, kind: str) -> DataFrame:
+    """Members of one kind with their team; ``_number`` is that of the group or resource."""
+    teams = t["jtf_rs_teams_vl"].select(
+        "team_id", "team_number", "team_name", "team_desc",
+        F.col("attribute1").alias("manager_number"),
+        F.col("end_date_active").alias("team_end_date"),
     )
-    individual = (
-        reps.join(
-            links.filter(F.col("resource_type") == "INDIVIDUAL"),
-            F.col("resource_number") == F.col("member_number"),
-        )
-        .join(teams, "team_id")
-        .withColumns({
-            "person_id": F.col("member_person_id"),
-            "group_name": F.lit(None).cast("string"),
-            "group_desc": F.lit(None).cast("string"),
-        })
+    links = t["jtf_rs_team_members_vl"].filter(not_deleted(F.col("delete_flag")) & (F.col("resource_type") == kind)).select(
+        "team_member_id", "team_id", "resource_type", "category", "category_name",
+        F.col("resource_number").alias("_number"), F.col("person_id").alias("member_person_id"),
     )
-    columns = (
-        "team_number team_name team_desc team_end_date manager_number team_member_id team_id resource_type "
-        "person_id category category_name resource_number name resource_id salesrep_number salesrep_id "
-        "email_address group_name group_desc"
-    ).split()
-    return via_group.select(*columns).unionByName(individual.select(*columns)).distinct()
+    return links.join(teams, "team_id")
+
+
+def _individual_members(t: Tables) -> DataFrame:
+    links = _team_links(t, "INDIVIDUAL")
+    return _reps(t).join(links, F.col("resource_number") == F.col("_number")).withColumns({
+        "person_id": F.col("member_person_id"),
+        "group_name": F.lit(None).cast("string"),
+        "group_desc": F.lit(None).cast("string"),
+    })
+
+
+def _with_numbers(side: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct rows of one side with all numbers they go by; rows without a number meet nothing."""
+    numbers = F.sort_array(F.collect_set("_number")).alias("_numbers")
+    return side.groupBy(*columns).agg(numbers).filter(F.size("_numbers") > 0)
+
+
+def _met(reps: DataFrame, links: DataFrame) -> DataFrame:
+    """Each rep row with each link row that shares a number, once: at the smallest number they share.
+
+    Distinct sides give distinct pairs, so the pairs, of which there are as many as a group's reps times
+    its links, are never shuffled. Groups are few and their pairs many: reps are spread, links copied.
+    """
+    left = reps.withColumns({
+        "_number": F.explode("_numbers"), "_salt": F.pmod(F.xxhash64(*reps.columns), F.lit(SPREAD).cast("bigint")),
+    })
+    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint"))
+    right = links.withColumnRenamed("_numbers", "_link_numbers").withColumn("_number", F.explode("_link_numbers"))
+    pairs = left.join(right.withColumn("_salt", F.explode(salts)), ["_number", "_salt"])
+    once = (F.size("_numbers") == 1) | (F.size("_link_numbers") == 1)
+    return pairs.filter(once | (F.col("_number") == F.array_min(F.array_intersect("_numbers", "_link_numbers"))))
+
+
+def team_members(t: Tables) -> DataFrame:
+    """Team membership of reps: through their group, or individually (distinct union).
+
+    The two kinds differ in ``resource_type``, so each is made distinct by itself.
+    """
+    via_group = _met(
+        _with_numbers(_group_reps(t, GROUP_SIDE), GROUP_SIDE), _with_numbers(_team_links(t, "GROUP"), LINK_SIDE)
+    )
+    individual = _individual_members(t).select(*MEMBER_COLUMNS).distinct()
+    return via_group.select(*MEMBER_COLUMNS).unionByName(individual)
+
+
+def distinct_members(t: Tables, columns: Sequence[str]) -> DataFrame:
+    """Distinct values of some columns of `team_members`; both sides are reduced to them before they meet.
+
+    A group's links to one team count once here, so rows grow with the reps and not with reps times links.
+    """
+    of_rep, of_link = [c for c in columns if c in GROUP_SIDE], [c for c in columns if c in LINK_SIDE]
+    reps = _group_reps(t, of_rep).distinct()
+    links = _team_links(t, "GROUP").select(*of_link, "_number").distinct()
+    via_group = reps.join(links, "_number").select(*columns)
+    return via_group.unionByName(_individual_members(t).select(*columns)).distinct()
+
+
+def counted_members(t: Tables, of_rep: Sequence[str], of_link: Sequence[str]) -> DataFrame:
+    """How many rows of `team_members` (``copies``) have the same values in some columns, without building those rows."""
+    def counted(side: DataFrame, columns: Sequence[str], n: str) -> DataFrame:
+        return side.groupBy(*columns, "_numbers").agg(F.count(F.lit(1)).alias(n))
+
+    reps = counted(_with_numbers(_group_reps(t, GROUP_SIDE), GROUP_SIDE), of_rep, "_reps")
+    links = counted(_with_numbers(_team_links(t, "GROUP"), LINK_SIDE), of_link, "_links")
+    columns = [*of_rep, *of_link]
+    via_group = _met(reps, links).select(*columns, (F.col("_reps") * F.col("_links")).alias("copies"))
+    individual = _individual_members(t).select(*MEMBER_COLUMNS).distinct().select(*columns, F.lit(1).cast("bigint").alias("copies"))
+    return via_group.unionByName(individual).groupBy(*columns).agg(F.sum("copies").alias("copies"))
+
+
+def _repeated(rows: DataFrame, copies: str, spread_by: Sequence[str]) -> DataFrame:
+    """Each row as often as ``copies`` says, in blocks; spread first, so that no task makes the copies of many rows."""
+    size, n = F.lit(REPEAT_BLOCK).cast("bigint"), F.col(copies)
+    blocks = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / size)))
+    inside = F.explode(F.sequence(F.lit(1).cast("bigint"), F.least(size, n - F.col("_block") * size)))
+    spread = rows.repartition(*spread_by).withColumn("_block", blocks)
+    return spread.withColumn("_nth", inside).drop("_block", "_nth", copies)
 
 
 def team_rollup(t: Tables) -> DataFrame:
@@ -146,7 +222,7 @@ def rep_team(t: Tables) -> DataFrame:
     A rep's team is the membership with the lowest team id; its roll-up is the parent named
     by the team, or the team itself when it has no parent.
     """
-    return team_members(t).groupBy("salesrep_id").agg(
+    return distinct_members(t, ["salesrep_id", "team_id", "team_name", "team_desc"]).groupBy("salesrep_id").agg(
         F.min_by(F.coalesce("team_desc", "team_name"), "team_id").alias("rollup_team"),
         F.min_by("team_name", "team_id").alias("own_team"),
     )
@@ -186,7 +262,8 @@ def sales_territory(t: Tables, as_of: dt.date) -> DataFrame:
             F.col("attribute2").alias("div"), F.col("attribute3").alias("plt"),
         )
     )
-    teams = team_members(t).select("salesrep_number", "team_number", "team_name", "team_desc")
+    # a rep's equal memberships of a team are counted and become rows again at the end
+    teams = counted_members(t, ["salesrep_number"], ["team_number", "team_name", "team_desc"])
     managers = team_manager(t, as_of).select(
         "team_number",
         F.col("team_desc").alias("top_rollup_team"),
@@ -210,6 +287,7 @@ def sales_territory(t: Tables, as_of: dt.date) -> DataFrame:
         rows = decode_column(rows, lookups, kind, code, out)
     rows = _with_rollup_id(t, rows.join(teams, "salesrep_number", "left")).join(managers, "team_number", "left")
     override = {fixed.MANUFACTURING_LOB_CODE: fixed.MANUFACTURING_TERRITORY}
+    rows = _repeated(rows.withColumn("copies", F.coalesce("copies", F.lit(1))), "copies", ["salesrep_number", "team_number"])
     return rows.select(
         "*",
         value_map(F.col("lob_id"), override, F.col("territory_text")).alias("territory_desc"),
@@ -220,10 +298,11 @@ def sales_territory(t: Tables, as_of: dt.date) -> DataFrame:
 
 def rep_list(t: Tables, *, ordered: bool = True) -> DataFrame:
     """Reps with title, team, roll-up team and manager; NULLs last when ordered."""
-    members = team_members(t).select(
+    columns = "salesrep_id salesrep_number name email_address resource_id team_name manager_number person_id".split()
+    members = distinct_members(t, columns).select(
         "salesrep_id", F.col("salesrep_number").alias("sales_rep_number"), F.col("name").alias("sales_rep"),
         "email_address", "resource_id", F.col("team_name").alias("team"), "manager_number", "person_id",
-    ).distinct()
+    )
 
     titles = active_lookup(t["fnd_lookup_values"], fixed.LOOKUP_TITLES).select(
         F.col("lookup_code").alias("attribute1"), F.col("meaning").alias("title")
