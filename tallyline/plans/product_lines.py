@@ -33,7 +33,8 @@ def item_product_lines(
     if structure is not None:
         categories = categories.filter(F.col("structure_id") == structure)
     return (
-        links.join(categories.select("category_id", "segment1"), "category_id")
+        # categories are few, the links to them as many as items: their estimated sizes can be the other way round
+        links.join(F.broadcast(categories.select("category_id", "segment1")), "category_id")
         .join(product_line_values(t), "segment1")
         .groupBy(*ITEM, "product_line")
         .agg(F.count(F.lit(1)).cast("decimal(9,0)").alias("times"))

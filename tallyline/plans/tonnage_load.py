@@ -292,7 +292,7 @@ def tonnage_rows(t: Tables, low: Column, high: Column, organizations: tuple[int,
     lines = item_product_lines(t, structure=fixed.PRODUCT_LINE_STRUCTURE)
     # negative test: rows without a product line go too
     lines = lines.filter(F.col("product_line") != fixed.ACCESSORIES)
-    items = t["mtl_system_items"].select(*ITEM, F.col("segment1").alias("item_code"), "unit_weight").join(lines, ITEM)
+    items = t["mtl_system_items"].select(*ITEM, F.col("segment1").alias("item_code"), "unit_weight").hint("merge").join(lines, ITEM)
     types = t["mtl_transaction_types"].select("transaction_type_id", "transaction_type_name", "description")
     plants = t["mtl_parameters"].select("organization_id", F.col("organization_code").alias("org"))
     rows = (

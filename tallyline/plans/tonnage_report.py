@@ -2,7 +2,9 @@
 
 Pounds are linear in the quantity, so each branch first sums quantities per plant, item and
 unit (with map-side combine) and only then meets the item, category and rate tables: the
-joins see one row per item and unit, whatever the number of transactions of a hot item.
+joins see one row per item and unit, whatever the number of transactions of a hot item. Items
+and what they are filed under grow with the input; the merge hint keeps them off the driver, as
+a size estimated from compressed files and their copies per plant is far too small.
 """
 
 from __future__ import annotations
@@ -70,11 +72,11 @@ def _transaction_pounds(
         .groupBy(*ITEM, "transaction_uom")
         .agg(F.sum("primary_quantity").alias("quantity"))
     )
-    weighed = quantities.join(t["mtl_system_items"].select(*ITEM, "unit_weight"), ITEM).join(
-        item_product_lines(t, structure=fixed.PRODUCT_LINE_STRUCTURE), ITEM
+    weighed = quantities.join(t["mtl_system_items"].select(*ITEM, "unit_weight").hint("merge"), ITEM).join(
+        item_product_lines(t, structure=fixed.PRODUCT_LINE_STRUCTURE).hint("merge"), ITEM
     )
     if category_filter is not None:
-        weighed = weighed.join(items_in_category_set(t, *category_filter), ITEM, "left_semi")
+        weighed = weighed.join(items_in_category_set(t, *category_filter).hint("merge"), ITEM, "left_semi")
     rated = with_unit_rate(
         weighed, t["uom_rates"], "rate",
         item="inventory_item_id", from_uom="transaction_uom", to_literal="LB",
@@ -172,11 +174,11 @@ def tonnage_outsourced(t: Tables, category_filter: CategoryFilter | None = None)
         .join(jobs, "wip_entity_id")
         .groupBy(*ITEM)
         .agg(F.sum("open_quantity").cast(QUANTITY).alias("quantity"))
-        .join(t["mtl_system_items"].select(*ITEM), ITEM, "left_semi")
-        .join(item_product_lines(t, category_set=fixed.PURCHASING_CATEGORY_SET), ITEM)
+        .join(t["mtl_system_items"].select(*ITEM).hint("merge"), ITEM, "left_semi")
+        .join(item_product_lines(t, category_set=fixed.PURCHASING_CATEGORY_SET).hint("merge"), ITEM)
     )
     if category_filter is not None:
-        quantities = quantities.join(items_in_category_set(t, *category_filter), ITEM, "left_semi")
+        quantities = quantities.join(items_in_category_set(t, *category_filter).hint("merge"), ITEM, "left_semi")
     amount = F.col("quantity") * F.col("times")
     return _with_plant(t, quantities).groupBy("org").agg(*product_line_sums(amount, "osp_"))
 

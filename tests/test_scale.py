@@ -1,10 +1,13 @@
 """What keeps shuffles, tasks and broadcasts in step with the input."""
 
+import datetime as dt
 from collections import Counter
 
 from pyspark.sql import functions as F
 
-from tallyline.plans import sales_org
+from tallyline.operators import units
+from tallyline.operators.joins import spread_join
+from tallyline.plans import invoice_stage, margin, sales_org, tonnage_report
 from tallyline.sources.tables import Tables
 
 
@@ -65,3 +68,54 @@ def test_copies_are_made_in_blocks(spark, monkeypatch):
     rows = spark.createDataFrame([("a", 1), ("b", 4), ("c", 9)], "k string, copies long")
     found = sales_org._repeated(rows, "copies", ["k"]).groupBy("k").agg(F.count(F.lit(1))).collect()
     assert dict(map(tuple, found)) == {"a": 1, "b": 4, "c": 9}
+
+
+def test_own_rates_ride_with_the_item(spark):
+    rates = spark.createDataFrame(
+        [(1, "EA", "LB", 3), (1, "KG", "LB", 4), (1, "KG", "LB", 5), (2, "EA", "KG", 7), (None, "EA", "LB", 9)],
+        "inventory_item_id long, from_uom string, to_uom string, rate decimal(10,5)",
+    )
+    items = spark.createDataFrame([(1, "LB"), (2, "LB"), (3, None)], "inventory_item_id long, primary_uom_code string")
+    rows = spark.createDataFrame(
+        [(k, i, u) for k, (i, u) in enumerate([(1, "EA"), (1, "KG"), (2, "EA"), (2, "LB"), (3, "EA"), (9, "EA"), (None, "EA"), (1, None)])],
+        "k int, inventory_item_id long, uom_code string",
+    )
+    whole = rows.join(items, "inventory_item_id", "left")
+    expected = units.with_unit_rate(whole, rates, "rate", item="inventory_item_id", from_uom="uom_code", to_uom="primary_uom_code")
+    known = units.with_own_rates(items, rates, "own", item="inventory_item_id", to_uom="primary_uom_code")
+    found = units.with_rate_of_item(
+        rows.join(known, "inventory_item_id", "left"), rates, "rate", own="own", from_uom="uom_code", to_uom="primary_uom_code"
+    )
+    assert sorted(map(str, found.select("k", "rate").collect())) == sorted(map(str, expected.select("k", "rate").collect()))
+
+
+def test_the_salt_stays_a_key_and_later_joins_need_no_shuffle(spark):
+    left = spark.range(100).selectExpr("id", "case when id % 2 = 0 then null else id end as k")
+    right = [spark.range(100).selectExpr("id as k", f"id + {n} as v{n}") for n in (1, 2)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spread_join(left, right[0], ["k"], ["id"], then=right[1:])
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Exchange hashpartitioning(k") == 3  # the rows once, each other frame once
+        assert text.count("_salt") and joined.filter("k is null").count() == 50
+        assert all(r["v1"] == r["k"] + 1 and r["v2"] == r["k"] + 2 for r in joined.filter("k is not null").collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_staging_columns_ride_with_the_detail(tables):
+    more = invoice_stage.attached_columns(tables)
+    when = dict(as_of=dt.datetime(1998, 6, 15))
+    riding = invoice_stage.invoice_stage(tables, margin.om_detail(tables, attach=more, **when), **when)
+    # above the detail there is no join: it is found without one by the columns it took along
+    bare = invoice_stage.invoice_stage(tables, margin.om_detail(tables, **when), **when)
+    joins = [plan(df).count("Join ") for df in (riding, bare)]
+    assert joins[0] == joins[1]
+    rows = [sorted(map(str, df.collect())) for df in (riding, bare)]
+    assert rows[0] == rows[1] and rows[0]
+
+
+def test_items_are_not_broadcast(tables):
+    text = tonnage_report.tonnage_by_org(tables, dt.date(1995, 1, 1), dt.date(2001, 12, 31), (101, 2))._jdf.queryExecution().executedPlan().toString()
+    # the hinted item side is sorted and merged
+    assert text.count("SortMergeJoin [organization_id") >= 6
