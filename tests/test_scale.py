@@ -2,6 +2,7 @@
 
 import datetime as dt
 from collections import Counter
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -72,7 +73,7 @@ def test_copies_are_made_in_blocks(spark, monkeypatch):
 
 def test_own_rates_ride_with_the_item(spark):
     rates = spark.createDataFrame(
-        [(1, "EA", "LB", 3), (1, "KG", "LB", 4), (1, "KG", "LB", 5), (2, "EA", "KG", 7), (None, "EA", "LB", 9)],
+        [(i, a, b, Decimal(n)) for i, a, b, n in [(1, "EA", "LB", 3), (1, "KG", "LB", 4), (1, "KG", "LB", 5), (2, "EA", "KG", 7), (None, "EA", "LB", 9)]],
         "inventory_item_id long, from_uom string, to_uom string, rate decimal(10,5)",
     )
     items = spark.createDataFrame([(1, "LB"), (2, "LB"), (3, None)], "inventory_item_id long, primary_uom_code string")
