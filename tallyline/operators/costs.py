@@ -11,7 +11,13 @@ COST_COLUMNS = ("om_cogs", *fixed.COST_ELEMENTS)
 
 
 def cost_by_transaction(accounts: DataFrame) -> DataFrame:
-    """One row per transaction: total and element costs.
+    """One row per transaction: total and element costs; see `cost_units_by_transaction`."""
+    units = cost_units_by_transaction(accounts)
+    return units.select("transaction_id", *[from_units(F.col(c)).alias(c) for c in COST_COLUMNS])
+
+
+def cost_units_by_transaction(accounts: DataFrame) -> DataFrame:
+    """One row per transaction: total and element costs in whole ten-thousandths.
 
     Each figure is the sum over the primary accounting line type or, if there is none, over
     the fallback type. All twelve sums come from one pass with map-side combine, and are added
@@ -31,7 +37,7 @@ def cost_by_transaction(accounts: DataFrame) -> DataFrame:
 
     first, second = F.col("primary"), ~F.col("primary")
     figures = [
-        from_units(F.coalesce(figure(first, number), figure(second, number))).alias(name)
+        F.coalesce(figure(first, number), figure(second, number)).alias(name)
         for name, number in {"om_cogs": None, **fixed.COST_ELEMENTS}.items()
     ]
     return values.groupBy("transaction_id").agg(*figures)

@@ -17,6 +17,24 @@ from pyspark.sql import Column, DataFrame, functions as F
 SPREAD = 64
 
 
+def _no_salt(key: str) -> Column:
+    # 0, but no constant: the optimizer would drop a constant salt from the join's keys
+    return F.pmod(F.xxhash64(key), F.lit(1).cast("bigint"))
+
+
+def unsalted(right: DataFrame, on: str) -> DataFrame:
+    """Rows with the salt ``_salt`` that `spread_join` gives its right side: what is grouped or joined by the key and it lies ready."""
+    return right.withColumn("_salt", _no_salt(on))
+
+
+def laid_for_join(right: DataFrame, on: str) -> DataFrame:
+    """Rows shuffled by a key the way `spread_join` wants its right side, with the salt ``_salt``.
+
+    What is grouped by the key, the salt and more is then neither shuffled for that nor for the join.
+    """
+    return unsalted(right, on).repartition(on, "_salt")
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -34,15 +52,14 @@ def spread_join(
     one of ``spread`` salts, and right rows with such a key are copied once per salt; all
     others keep salt 0. Same rows as a plain join: a left row meets at most one copy.
     ``then``: frames that are left joined by the same columns afterwards, without shuffling the rows
-    again; not with ``hot`` keys.
+    again; not with ``hot`` keys. A right side that has a ``_salt`` (see `unsalted`) keeps it; not with ``hot`` keys.
     """
-    if hot and then:
-        raise ValueError("rows with hot keys meet one frame")
+    if hot and (then or "_salt" in right.columns):
+        raise ValueError("rows with hot keys meet one frame without a salt")
     key = F.col(on[0])
     whole = F.xxhash64(*spread_by)
     none = F.lit(0).cast("bigint")
-    # 0 as well, but no constant: the optimizer would drop a constant salt from the join's keys
-    zero = F.pmod(F.xxhash64(on[0]), F.lit(1).cast("bigint"))
+    zero = _no_salt(on[0])
     salt = F.when(key.isNull(), whole)
     if hot:
         is_hot = key.isin(list(hot))
@@ -50,7 +67,7 @@ def spread_join(
         copies = F.when(is_hot, F.sequence(none, F.lit(spread - 1).cast("bigint"))).otherwise(F.array(none))
         salted_right = right.withColumn("_salt", F.explode(copies))
     else:
-        salted_right = right.withColumn("_salt", zero)
+        salted_right = right if "_salt" in right.columns else unsalted(right, on[0])
     salted_left = left.withColumn("_salt", salt.otherwise(none))
     joined = salted_left.join(salted_right, [*on, "_salt"], how)
     # left joins by the same key: the rows lie where the first join left them

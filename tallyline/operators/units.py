@@ -20,7 +20,11 @@ STEP = "decimal(28,14)"
 
 
 def general_rates(rates: DataFrame) -> DataFrame:
-    """Rates that hold for every item: at most one row per pair of units."""
+    """Rates that hold for every item: at most one row per pair of units.
+
+    Few keys, each of them hot on the fact side: joins broadcast them. Planned otherwise, the facts would first be
+    shuffled by a handful of keys, as the estimated size is that of the whole table of rates.
+    """
     return (
         rates.filter(F.col("inventory_item_id").isNull())
         .groupBy("from_uom", "to_uom")
@@ -53,9 +57,7 @@ def with_unit_rate(
         F.col("to_uom").alias("_to"),
         F.col("rate").alias("own_rate"),
     )
-    # Few keys, each of them hot on the fact side. No hint: Spark broadcasts this side when its
-    # size is known to be small, at planning or (after the aggregate) at run time.
-    general = general_rates(rates).withColumnsRenamed({"from_uom": "_from", "to_uom": "_to"})
+    general = F.broadcast(general_rates(rates).withColumnsRenamed({"from_uom": "_from", "to_uom": "_to"}))
     keyed = df.withColumns({"_item": F.col(item), "_from": F.col(from_uom), "_to": target})
     same = F.when(F.col("_from") == F.col("_to"), F.lit(1).cast(kind))
     key = ["_item", "_from", "_to"]
@@ -67,32 +69,39 @@ def with_unit_rate(
     )
 
 
-def with_own_rates(items: DataFrame, rates: DataFrame, out: str, *, item: str, to_uom: str) -> DataFrame:
-    """Add the own rates of an item to one of its units, as a list of (from, rate); see `with_rate_of_item`."""
+def with_rates_list(items: DataFrame, rates: DataFrame, out: str, *, item: str) -> DataFrame:
+    """Add all own rates of an item, as a list of (from, to, rate): one join for all units; see `with_rate_of_item`."""
     own = (
         rates.filter(F.col("inventory_item_id").isNotNull())
-        .groupBy(F.col("inventory_item_id").alias("_item"), F.col("to_uom").alias("_to"))
-        .agg(F.collect_list(F.struct("from_uom", "rate")).alias(out))
+        .groupBy(F.col("inventory_item_id").alias("_item"))
+        .agg(F.collect_list(F.struct("from_uom", "to_uom", "rate")).alias(out))
     )
-    keyed = items.withColumns({"_item": F.col(item), "_to": F.col(to_uom)})
-    return keyed.join(own, ["_item", "_to"], "left").drop("_item", "_to")
+    return items.withColumn("_item", F.col(item)).join(own, "_item", "left").drop("_item")
+
+
+def with_own_rates(items: DataFrame, rates: DataFrame, out: str, *, item: str, to_uom: str) -> DataFrame:
+    """Add the own rates of an item to one of its units, as a list; see `with_rate_of_item`."""
+    listed = with_rates_list(items, rates, out, item=item)
+    return listed.withColumn(out, F.filter(out, lambda r: r["to_uom"] == F.col(to_uom)))
 
 
 def with_rate_of_item(
-    df: DataFrame, rates: DataFrame, out: str, *, own: str, from_uom: str, to_uom: str, kind: str = RATE
+    df: DataFrame, rates: DataFrame, out: str, *, own: str, from_uom: str, to_uom: str | None = None,
+    to_literal: str | None = None, kind: str = RATE,
 ) -> DataFrame:
-    """`with_unit_rate` for rows that already met their item and its ``own`` rates to ``to_uom``: they are not joined by item again.
+    """`with_unit_rate` for rows that already met their item and its ``own`` rates: they are not joined by item again.
 
-    A rate that is stated more than once gives a row each, as a join does.
+    A rate that is stated more than once gives a row each, as a join does. The list stays.
     """
-    general = general_rates(rates).withColumnsRenamed({"from_uom": "_from", "to_uom": "_to"})
-    stated = F.filter(own, lambda r: r["from_uom"] == F.col(from_uom))
-    keyed = df.withColumns({"_from": F.col(from_uom), "_to": F.col(to_uom), "_own": F.explode_outer(stated)})
+    general = F.broadcast(general_rates(rates).withColumnsRenamed({"from_uom": "_from", "to_uom": "_to"}))
+    target = F.lit(to_literal) if to_uom is None else F.col(to_uom)
+    stated = F.filter(own, lambda r: (r["from_uom"] == F.col(from_uom)) & (r["to_uom"] == target))
+    keyed = df.withColumns({"_from": F.col(from_uom), "_to": target, "_own": F.explode_outer(stated)})
     same = F.when(F.col("_from") == F.col("_to"), F.lit(1).cast(kind))
     return (
         keyed.join(general, ["_from", "_to"], "left")
         .withColumn(out, F.coalesce("_own.rate", "general_rate", same).cast(kind))
-        .drop("_from", "_to", "_own", own, "general_rate")
+        .drop("_from", "_to", "_own", "general_rate")
     )
 
 

@@ -28,18 +28,18 @@ import datetime as dt
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyline import fixed_values as fixed
 from tallyline.functions.dates import in_months, instant, month_start
 from tallyline.functions.money import (
-    MONEY, WIDE, cents, gross_profit, gross_profit_percent,
+    MONEY, WIDE, cents, from_units, gross_profit, gross_profit_percent,
 )
 from tallyline.functions.text import join_text, numeric_key
-from tallyline.operators.costs import COST_COLUMNS, cost_by_transaction
-from tallyline.operators.joins import spread_join
+from tallyline.operators.costs import COST_COLUMNS, cost_units_by_transaction
+from tallyline.operators.joins import laid_for_join, spread_join, unsalted
 from tallyline.operators.lookups import checked, one_row_per_key
-from tallyline.operators.units import with_own_rates, with_rate_of_item, with_unit_rate
+from tallyline.operators.units import with_rate_of_item, with_rates_list
 from tallyline.sources.tables import Tables
 
 PARTS = ("Part1", "Part2", "Part3", "Part4", "Part5", "Part6")
@@ -183,7 +183,7 @@ def asked_order_lines(t: Tables, months: Months) -> DataFrame:
 
 
 def order_line_transactions(t: Tables, only: DataFrame | None = None) -> DataFrame:
-    """One row per order line, item and plant: costs of its issues and of its returns.
+    """One row per order line, item and plant: costs of its issues and of its returns, in whole ten-thousandths.
 
     ``issued`` / ``returned`` count transactions; a transaction without accounting rows counts
     but has no cost. ``only`` limits the work to some order lines.
@@ -210,16 +210,16 @@ def order_line_transactions(t: Tables, only: DataFrame | None = None) -> DataFra
     if only is not None:
         moves = moves.join(only.select("line_id"), "line_id", "left_semi")
         accounts = accounts.join(moves.select("transaction_id"), "transaction_id", "left_semi")
-    replaced = F.when(F.col("new_cost") != 0, F.col("om_cogs")).otherwise(F.lit(0).cast(WIDE))
+    replaced = F.when(F.col("new_cost") != 0, F.col("om_cogs")).otherwise(F.lit(0).cast("bigint"))
 
     def costs(test: Column, prefix: str) -> list[Column]:
         figures = {**{c: F.col(c) for c in COST_COLUMNS}, "om_replacements": replaced}
         return [
-            F.sum(F.when(test, value)).cast(WIDE).alias(prefix + name) for name, value in figures.items()
+            F.sum(F.when(test, value)).alias(prefix + name) for name, value in figures.items()
         ]
 
     return (
-        moves.join(cost_by_transaction(accounts), "transaction_id", "left")
+        moves.join(cost_units_by_transaction(accounts), "transaction_id", "left")
         .groupBy("line_id", "inventory_item_id", "ship_from_org_id")
         .agg(
             F.count(F.when(issue, 1)).alias("issued"),
@@ -256,19 +256,17 @@ def order_sides(t: Tables, parts: Sequence[str], only: DataFrame | None = None)
     untouched = ~issued & ~returned
     own_model = F.coalesce("line_id", F.lit(0)) == F.coalesce("top_model_line_id", F.lit(-1))
 
-    def row(part: str | None, key: Column, prefix: str | None) -> Column:
-        none = F.lit(None).cast(WIDE) if part is None else F.lit(0).cast(WIDE)
-        values = [(F.col(prefix + f) if prefix else none).alias(f) for f in figures]
-        return F.struct(F.lit(part).cast("string").alias("part"), key.alias("order_key"), *values)
+    def row(part: str | None, key: Column, source: str | None) -> Column:
+        return F.struct(F.lit(part).cast("string").alias("part"), key.alias("order_key"), F.lit(source).cast("string").alias("_source"))
 
     rows = []
     if "Part1" in parts:
-        rows.append(F.when(issued, row("Part1", F.col("line_id"), "issue_")))
+        rows.append(F.when(issued, row("Part1", F.col("line_id"), "issue")))
     if "Part2" in parts:
         assembled = issued & F.col("top_model_line_id").isNotNull()
-        rows.append(F.when(assembled, row("Part2", F.col("top_model_line_id"), "issue_")))
+        rows.append(F.when(assembled, row("Part2", F.col("top_model_line_id"), "issue")))
     if "Part3" in parts:
-        rows.append(F.when(returned, row("Part3", F.col("line_id"), "return_")))
+        rows.append(F.when(returned, row("Part3", F.col("line_id"), "return")))
     if "Part6" in parts:
         own_row = F.lit(False)
         if "Part1" in parts:
@@ -283,28 +281,52 @@ def order_sides(t: Tables, parts: Sequence[str], only: DataFrame | None = None)
     kinds = (
         t["oe_transaction_types_tl"]
         .groupBy(F.col("transaction_type_id").alias("line_type_id"), F.col("name").alias("order_line_type"))
-        .agg(F.count(F.lit(1)).cast("decimal(9,0)").alias("type_times"))
-    )
-    names = F.coalesce("type_times", F.lit(1))
-    once = F.when(F.col("part") == "Part2", F.lit(1).cast("decimal(9,0)")).otherwise(names)
+        .agg(F.count(F.lit(1)).alias("type_times"))
+    )
+    names = F.coalesce("type_times", F.lit(1).cast("bigint"))
+    once = F.when(F.col("part") == "Part2", F.lit(1).cast("bigint")).otherwise(names)
+    # only what a row is goes through the explode; its figures, whole numbers, are chosen afterwards
+    source, none = F.col("_source"), F.lit(0).cast("bigint")
+    chosen = {
+        f: F.when(source == "issue", F.col(f"issue_{f}")).when(source == "return", F.col(f"return_{f}")).when(F.col("part").isNotNull(), none)
+        for f in figures
+    }
     sides = (
-        joined.select("ship_from_org_id", "order_line", "line_type_id", F.explode(F.array_compact(F.array(*rows))).alias("side"))
-        .select(F.col("ship_from_org_id").alias("plant"), "order_line", "line_type_id", "side.*")
+        joined.withColumn("side", F.explode(F.array_compact(F.array(*rows))))
+        .select("*", "side.*")
+        .select(
+            F.col("ship_from_org_id").alias("plant"), "order_line", "line_type_id", "part", "order_key",
+            *[value.alias(f) for f, value in chosen.items()],
+        )
         .join(kinds, "line_type_id", "left")
+    )
+    # shuffled once, by the key the invoice lines come with
+    sides = (
+        laid_for_join(sides, "order_key")
         # a model's components that share line text, plant and type are one row
-        .groupBy("order_key", "part", "plant", "order_line", "order_line_type")
-        .agg(
-            *[F.sum(F.col(c) * once).cast(WIDE).alias(c) for c in COST_COLUMNS],
-            F.sum(F.col("om_replacements") * names).cast(WIDE).alias("om_replacements"),
-        )
+        .groupBy("order_key", "_salt", "part", "plant", "order_line", "order_line_type")
+        .agg(*[F.sum(F.col(c) * once).alias(c) for c in COST_COLUMNS], F.sum(F.col("om_replacements") * names).alias("om_replacements"))
         .withColumn("has_order_line", F.lit(True))
     )
     if not {"Part2", "Part6"} <= set(parts):
         return sides
-    known = lines.select(F.col("line_id").alias("order_key"))
-    models = lines.select(F.col("top_model_line_id").alias("order_key")).filter(F.col("order_key").isNotNull()).distinct()
-    absent = models.join(known, "order_key", "left_anti")
-    return sides.unionByName(absent, allowMissingColumns=True)
+    return _with_absent_models(sides)
+
+
+def _with_absent_models(sides: DataFrame) -> DataFrame:
+    """Add a row without anything for each model that is known by its components alone.
+
+    Every order line has a row of its own under its number (Part6 is asked for), so such a model has nothing but
+    Part2. The rows lie by their key, and stay there.
+    """
+    of_key = Window.partitionBy("order_key", "_salt")
+    own = F.coalesce(F.col("part") != "Part2", F.lit(True))
+    absent = ~F.max(own).over(of_key) & (F.row_number().over(of_key.orderBy("part")) == 1)
+    both = F.when(F.col("_absent"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))
+    kept = [c for c in sides.columns if c not in ("order_key", "_salt")]
+    return sides.withColumn("_absent", absent).withColumn("_present", F.explode(both)).select(
+        "order_key", "_salt", *[F.when(F.col("_present"), F.col(c)).alias(c) for c in kept]
+    )
 
 
 def _with_names(t: Tables, rows: DataFrame) -> DataFrame:
@@ -356,12 +378,15 @@ def _with_items(t: Tables, rows: DataFrame) -> DataFrame:
         F.lit(True).alias("has_item"),
     )
     item_keys = ["inventory_item_id", "warehouse_id"]
-    items = with_unit_rate(
-        items, t["uom_rates"], "to_pounds", item="inventory_item_id", from_uom="weight_uom_code", to_literal="LB"
-    )
-    items = with_own_rates(items, t["uom_rates"], "own_rates", item="inventory_item_id", to_uom="primary_uom_code")
+    # all own rates of an item in one join
+    items = with_rates_list(items, t["uom_rates"], "_rates", item="inventory_item_id")
+    items = with_rate_of_item(items, t["uom_rates"], "to_pounds", own="_rates", from_uom="weight_uom_code", to_literal="LB")
+    items = items.withColumn("own_rates", F.filter("_rates", lambda r: r["to_uom"] == F.col("primary_uom_code"))).drop("_rates")
+    # both sides with the salt of the join that follows, which then finds them where they lie
+    salted = [*item_keys, "_salt"]
+    category = one_row_per_key(unsalted(item_category, "inventory_item_id"), salted, ["category_id"])
     # Spark takes copies made by an explode for no larger than their source: without the hint it may broadcast them
-    items = items.join(one_row_per_key(item_category, item_keys, ["category_id"]).hint("merge"), item_keys, "left")
+    items = unsalted(items, "inventory_item_id").join(category.hint("merge"), salted, "left")
     return spread_join(rows, items, item_keys, spread_by=["customer_trx_line_id"])
 
 
@@ -427,7 +452,7 @@ def margin_rows(
     else:
         texts = ("part", "order_line", "order_line_type")
         empty = {
-            **{f: F.lit(None).cast(WIDE) for f in figures},
+            **{f: F.lit(None).cast("bigint") for f in figures},
             **{c: F.lit(None).cast("string") for c in texts},
             "plant": F.lit(None).cast("int"),
             **{c: F.lit(None).cast(attach.by_order.schema[c].dataType) for c in (attach.order_columns if attach else [])},
@@ -449,9 +474,9 @@ def margin_rows(
     ordered = ~part.isin(*WITHOUT_ORDER_LINE)
     once = F.when(part == "Part2", F.lit(1).cast("decimal(9,0)")).otherwise(F.col("times"))
     costed = part.isin("Part1", "Part2", "Part3")
-    columns = {c: cents(F.when(costed, F.col(c) * once).otherwise(zero)) for c in COST_COLUMNS}
+    columns = {c: cents(F.when(costed, from_units(F.col(c)) * once).otherwise(zero)) for c in COST_COLUMNS}
     columns["om_replacements"] = cents(
-        F.when(costed & (F.col("om_rev") == 0), F.col("om_replacements") * F.col("times")).otherwise(zero)
+        F.when(costed & (F.col("om_rev") == 0), from_units(F.col("om_replacements")) * F.col("times")).otherwise(zero)
     )
     columns["order_line_id"] = F.when(ordered, F.when(matched, F.col("order_key")))
     columns |= {c: F.when(ordered & matched, F.col(c)) for c in (attach.order_columns if attach else [])}
@@ -466,7 +491,7 @@ def market_quantity(t: Tables, rows: DataFrame) -> DataFrame:
     """Add the quantity in pounds; 0 when a unit cannot be converted. ``to_pounds`` and ``own_rates`` came with the item."""
     in_primary = with_rate_of_item(
         rows, t["uom_rates"], "to_primary", own="own_rates", from_uom="uom_code", to_uom="primary_uom_code"
-    )
+    ).drop("own_rates")
     each = (F.col("unit_weight") * F.col("to_pounds")).cast("decimal(18,9)")
     converted = (F.col("quantity") * F.col("to_primary")).cast("decimal(20,9)") * each
     value = F.when(F.col("uom_code") == "LB", F.col("quantity")).otherwise(converted)

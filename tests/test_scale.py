@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from tallyline.operators import units
-from tallyline.operators.joins import spread_join
+from tallyline.operators.joins import spread_join, unsalted
 from tallyline.plans import invoice_stage, margin, sales_org, tonnage_report
 from tallyline.sources.tables import Tables
 
@@ -120,3 +120,35 @@ def test_items_are_not_broadcast(tables):
     text = tonnage_report.tonnage_by_org(tables, dt.date(1995, 1, 1), dt.date(2001, 12, 31), (101, 2))._jdf.queryExecution().executedPlan().toString()
     # the hinted item side is sorted and merged
     assert text.count("SortMergeJoin [organization_id") >= 6
+
+
+def test_models_known_by_their_components_alone_give_one_empty_row(spark):
+    rows = [(1, "Part1", "a"), (1, "Part2", "a"), (1, "Part2", "b"), (2, "Part2", "a"), (2, "Part2", "b"), (3, None, "a"), (None, "Part6", "a")]
+    sides = unsalted(spark.createDataFrame(rows, "order_key long, part string, order_line string"), "order_key").withColumn("has_order_line", F.lit(True))
+    found = margin._with_absent_models(sides).select("order_key", "part", "order_line", "has_order_line").collect()
+    assert sorted(map(tuple, found), key=str) == sorted([(*r, True) for r in rows] + [(2, None, None, None)], key=str)
+
+
+def test_order_sides_are_shuffled_once_for_grouping_and_join(tables, spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = spark.range(9).selectExpr("id", "nullif(id, 3) as order_key")
+        joined = spread_join(left, margin.order_sides(tables, margin.PARTS), ["order_key"], ["id"])
+        text = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the left rows and the order sides, once each
+    assert text.count("Exchange hashpartitioning(order_key") == 2
+    # costs travel as whole numbers
+    assert all(f.dataType.typeName() == "long" for f in margin.order_sides(tables, margin.PARTS).schema if f.name.startswith("om_"))
+
+
+def test_general_rates_shuffle_no_facts(spark):
+    rates = spark.createDataFrame([(None, "KG", "LB", Decimal(2))], "inventory_item_id long, from_uom string, to_uom string, rate decimal(10,5)")
+    rows = spark.range(9).selectExpr("id", "id as item", "if(id % 2 = 0, 'KG', 'EA') as uom")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = units.with_unit_rate(rows, rates, "rate", item="item", from_uom="uom", to_literal="LB")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin [" in text and "hashpartitioning(_from#" not in text.replace("hashpartitioning(_item", "")
