@@ -23,6 +23,8 @@ ANY_TEAM = "*"
 #: The fact's columns, and the accounting period by which the stored table is partitioned.
 STORED_COLUMNS = (*fixed.TONNAGE_FACT_COLUMNS, "period_name")
 TONS = "decimal(24,9)"
+#: A few reps may have most of the orders: each rep's orders lie in that many tasks.
+REP_SPREAD = 16
 
 
 # ---------------------------------------------------------------- periods
@@ -173,7 +175,8 @@ def _direct_attributes(t: Tables) -> DataFrame:
 
     The rep counts only if they are in a team the order may go to; the name only if the rep
     belongs to the main organisation. Each value comes with a flag that says whether it is
-    ambiguous. Reps are brought to one row each first, so the orders are read once.
+    ambiguous. Reps are brought to one row each first, and only those that have orders are copied, so
+    that the orders of one rep meet them in several tasks.
     """
     main = F.col("org_id") == fixed.REP_ORGANIZATION
     reps = (
@@ -186,11 +189,17 @@ def _direct_attributes(t: Tables) -> DataFrame:
         )
         .join(rep_team(t).select("salesrep_id", F.col("rollup_team").alias("team")), "salesrep_id", "left")
         .withColumn("in_team", F.lit(True))
+        .join(t["oe_order_headers_all"].select("salesrep_id").distinct(), "salesrep_id", "left_semi")
     )
+    spread = F.lit(REP_SPREAD).cast("bigint")
+    copies = reps.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), spread - 1)))
     rows = (
         _direct_orders(t)
-        .join(reps, ["salesrep_id", "wanted"], "left")
+        .withColumn("_salt", F.pmod(F.xxhash64("order_number"), spread))
+        .join(copies, ["salesrep_id", "wanted", "_salt"], "left")
         .join(_types(t).withColumn("typed", F.lit(True)), "order_type_id", "left")
+        # order numbers hardly repeat: combining them before the shuffle would sort every row twice
+        .repartition("order_number")
     )
     named = F.coalesce("named", F.lit(False))
     return rows.groupBy("order_number").agg(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyline.operators import units
 from tallyline.operators.joins import spread_join, unsalted
-from tallyline.plans import invoice_stage, margin, sales_org, tonnage_report
+from tallyline.plans import invoice_stage, margin, sales_org, tonnage_load, tonnage_report
 from tallyline.sources.tables import Tables
 
 
@@ -152,3 +152,10 @@ def test_general_rates_shuffle_no_facts(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin [" in text and "hashpartitioning(_from#" not in text.replace("hashpartitioning(_item", "")
+
+
+def test_orders_of_one_rep_meet_it_in_several_tasks(tables):
+    text = plan(tonnage_load._direct_attributes(tables))
+    assert f"% {tonnage_load.REP_SPREAD}" in text or f", {tonnage_load.REP_SPREAD}" in text
+    keys = tonnage_load._direct_attributes(tables)
+    assert keys.count() == keys.select("order_number").distinct().count()
