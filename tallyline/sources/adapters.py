@@ -556,7 +556,9 @@ class _Bases:
         return own.unionByName(general)
 
     def _months(self, table: str, column: str) -> DataFrame:
-        return self._raw[table].select(F.last_day(column).alias("d")).distinct()
+        # the day is an aggregate, no key: filters on the texts made of it read the few months, not every row
+        days = self._raw[table].groupBy(F.trunc(column, "MM").alias("m")).agg(F.max(F.last_day(column)).alias("d"))
+        return days.select("d")
 
     def ship_month(self) -> DataFrame:
         return self._months("lineitem", "l_shipdate")

@@ -6,6 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from tallyline.functions.dates import period_month
 from tallyline.operators import units
 from tallyline.operators.joins import spread_join, unsalted
 from tallyline.plans import invoice_stage, margin, sales_org, tonnage_load, tonnage_report
@@ -154,6 +155,12 @@ def test_general_rates_shuffle_no_facts(spark):
     assert "BroadcastHashJoin [" in text and "hashpartitioning(_from#" not in text.replace("hashpartitioning(_item", "")
 
 
+def test_month_texts_are_made_of_months_and_not_of_rows(tables):
+    text = plan(tables["gl_period_statuses"].filter(period_month(F.col("period_name")).isNotNull()))
+    # the filter stands above the aggregate that finds the months
+    assert text.index("Filter") < text.index("Aggregate") and "gettimestamp" not in text[text.index("Aggregate"):].lower()
+
+
 def test_orders_of_one_rep_meet_it_in_several_tasks(tables):
     text = plan(tonnage_load._direct_attributes(tables))
     assert f"% {tonnage_load.REP_SPREAD}" in text or f", {tonnage_load.REP_SPREAD}" in text
