@@ -23,7 +23,7 @@ from tallyline.plans import (
 )
 from tallyline.sources import load_log
 from tallyline.sources.adapters import adapted_tables
-from tallyline.sources.sinks import shared_folder, write_history
+from tallyline.sources.sinks import remove, shared_folder, write_history
 from tallyline.sources.tables import Tables
 
 AS_OF = dt.date(1998, 6, 15)
@@ -176,13 +176,18 @@ def stored_account_plan(t: Tables) -> DataFrame:
 def load_ledger(t: Tables) -> DataFrame:
     """The log of a month summary's history, stored in two steps, beside what is stored."""
     summary = margin.om_month_summary(detail(t))
-    path = shared_folder(summary.sparkSession)
+    spark, columns = summary.sparkSession, summary.columns
+    # computed once: both steps take their months from it
+    path, whole = shared_folder(spark), shared_folder(spark)
+    write_history(summary, whole, "summary_date")
+    computed = spark.read.schema(summary.schema).parquet(whole).select(*columns)
     months = [dt.date(y, m, 1) for y in YEARS for m in range(1, 13)]
     steps = {"first": months[:42], "second": months[42:]}
     store = loads.Store(path, "month summary", 1, "history")
-    loads.load_history(store, steps, lambda some: summary.filter(F.col("summary_date").isin(list(some))), "summary_date")
-    stored = summary.sparkSession.read.parquet(path).select(*summary.columns)
-    return load_log.audit(summary.sparkSession, store.log, store.load, stored, "summary_date")
+    loads.load_history(store, steps, lambda some: computed.filter(F.col("summary_date").isin(list(some))), "summary_date")
+    remove(spark, whole)
+    stored = spark.read.parquet(path).select(*columns)
+    return load_log.audit(spark, store.log, store.load, stored, "summary_date")
 
 
 def period_replace(t: Tables) -> DataFrame:

@@ -6,6 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from tallyline import catalog
 from tallyline.functions.dates import period_month
 from tallyline.operators import units
 from tallyline.operators.joins import spread_join, unsalted
@@ -166,3 +167,16 @@ def test_orders_of_one_rep_meet_it_in_several_tasks(tables):
     assert f"% {tonnage_load.REP_SPREAD}" in text or f", {tonnage_load.REP_SPREAD}" in text
     keys = tonnage_load._direct_attributes(tables)
     assert keys.count() == keys.select("order_number").distinct().count()
+
+
+def test_ledger_computes_its_summary_once(tables, monkeypatch):
+    steps = []
+
+    def seen(store, chunks, rows_of, period):
+        steps.extend(plan(rows_of(months)) for months in chunks.values())
+        return history(store, chunks, rows_of, period)
+
+    history = catalog.loads.load_history
+    monkeypatch.setattr(catalog.loads, "load_history", seen)
+    assert catalog.load_ledger(tables).filter("not agrees").count() == 0
+    assert len(steps) == 2 and not any("Join" in s or "Aggregate" in s for s in steps)
