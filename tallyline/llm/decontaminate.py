@@ -76,7 +76,8 @@ def postings(tokens: DataFrame, windows: DataFrame) -> tuple[DataFrame, DataFram
     least = windows.groupBy("item").agg(F.min(F.size("need")).alias("least"))
     anchors = windows.select("item", F.explode("need").alias("place"), F.col("window"), "at")
     anchors = anchors.select("item", "place", F.element_at("window", F.col("place") - F.col("at") + 1).alias("term")).distinct()
-    anchors = anchors.join(least, "item")
+    # written before it is counted and broadcast, whole and as terms
+    anchors = written(anchors.join(least, "item"), "anchors")
     terms = small_or_not(anchors.select("term").distinct())
     lists = tokens.select("doc_id", "text_key", F.posexplode("words").alias("position", "term")).join(terms, "term")
     return anchors, lists

@@ -50,9 +50,11 @@ _KEEP = 8_000_000
 _NO_ID = 1 << 62
 
 
-def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
-    """The rows of Arrow batches one by one: only one text at a time becomes a Python string."""
+def rows_of(batches: Iterable[pa.RecordBatch | pd.DataFrame]) -> Iterator[tuple]:
+    """The rows of Arrow batches (or pandas frames) one by one: only one text at a time becomes a Python string."""
     for batch in batches:
+        if isinstance(batch, pd.DataFrame):
+            batch = pa.RecordBatch.from_pandas(batch, preserve_index=False)
         for k in range(batch.num_rows):
             yield tuple(c[k].as_py() for c in batch.columns)
 
@@ -246,25 +248,30 @@ def _across(bands: int, rows: int, agree: float, threshold: float):
     return run
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether in distinct edges (a, b) each a has one edge and none is a b too: then every b is the root of its component."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up")).union(edges.select("b", F.lit(0)))
+    ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.count("*").alias("n"))
+    return (ends.agg(F.max(F.when(F.col("up") > 0, F.col("n")))).first()[0] or 0) <= 1
+
+
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(node, root) for every node of a link list (a, b): alternate large-star and small-star steps until the stars stand still.
+    """(node, root) for every node of a link list (a, b): alternate large-star and small-star steps until only stars are left.
 
     Each round joins the edges with one minimum per node, pre-aggregated before its shuffle; a node with a third of all edges is a
-    skewed side of that join, which adaptive execution splits. Rounds grow with the logarithm of the largest component.
+    skewed side of that join, which adaptive execution splits. An edge gives one row to either step, so repeated rows go only at the
+    end of a round. Rounds grow with the logarithm of the largest component; none is run to see that nothing changes any more.
     """
-    edges = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    before = None
+    edges = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     for _ in range(most_rounds):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         other = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = written(other.union(low.select("a", F.col("m").alias("b"))).distinct(), "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
+        if _are_stars(edges):
             break
-        before = now
     else:
         raise RuntimeError("components did not settle")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select(F.col("b"), F.col("b")).distinct())
@@ -302,16 +309,17 @@ def near_duplicates(
     order = W.partitionBy("key", "block").orderBy(F.xxhash64("node", "key"), "node")
     others = F.array("lead", *[F.lag("node", k).over(order) for k in range(1, NEIGHBOURS + 1)])
     near = shared.withColumn("others", others).select("node", F.explode("others").alias("other")).where("node <> other")
-    near = near.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    near = written(near.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "neighbours")
     links = written(_verified(near, texts, size, threshold), "links")
 
     root = components(links)
     grouped = shared.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = grouped.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    grouped = grouped.join(mixed.select("key"), "key")
+    # written before it is counted and joined: else each of these makes it again, with the roots and all
+    grouped = written(grouped.join(mixed.select("key"), "key"), "mixed")
+    large = small_or_not(grouped.where(F.col("n") > LARGE).select(F.col("node").alias("id")).distinct())
     one = F.min("digest") == F.max("digest")
     grouped = grouped.join(sketch.groupBy(F.col("id").alias("node")).agg(F.when(one, F.any_value("sig")).alias("sig")), "node")
-    large = small_or_not(grouped.where(F.col("n") > LARGE).select(F.col("node").alias("id")).distinct())
     short = texts.join(large, "id", "left_semi").select("id", "text").mapInArrow(_shorten(size), "node long, short binary")
     # an id with several texts has no one set of shingles: its pairs all go on
     short = short.groupBy("node").agg(F.any_value("short").alias("short"), F.count("*").alias("texts")).where("texts = 1").drop("texts")
@@ -324,7 +332,7 @@ def near_duplicates(
     tasks = grouped.select("key", "band", "node", "root", "block", "sig", "short", F.inline(span)).repartition("key", "i", "j")
     across = tasks.sortWithinPartitions("key", "i", "j", "node").mapInPandas(_across(bands, rows, AGREE, threshold), "a long, b long")
     # a band that a pair shares by both signatures may be two buckets
-    rest = across.distinct().join(near, ["a", "b"], "left_anti")
+    rest = written(across.distinct().join(near, ["a", "b"], "left_anti"), "pairs")
     new = written(_verified(rest, texts, size, threshold), "links")
     links = links.union(new).distinct()
 

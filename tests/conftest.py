@@ -22,6 +22,8 @@ def spark(tmp_path_factory):
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.driver.memory": "4g",
             "spark.sql.shuffle.partitions": "2",
+            # tests look for paths in plans: long temporary folders must not be cut there
+            "spark.sql.maxMetadataStringLength": "2000",
             # tiny inputs: compiling generated code would take most of the time
             "spark.sql.codegen.wholeStage": "false",
             "spark.sql.codegen.factoryMode": "NO_CODEGEN",

@@ -156,6 +156,43 @@ def test_components_of_long_paths_and_stars(spark):
     assert got[139] == 100 and got[300] == got[299] == 299 and len(got) == 41 + 40 + 2
 
 
+def test_components_run_no_round_that_changes_nothing(spark, monkeypatch):
+    rounds, put = [], neardup.written
+    monkeypatch.setattr(neardup, "written", lambda df, name: rounds.append(name) or put(df, name))
+    stars = [(9, 1), (1, 8), (8, 1), (1, 7), (30, 20), (30, 20), (5, 5)]
+    got = neardup.components(spark.createDataFrame(stars, "a long, b long")).collect()
+    assert sorted(got) == [(1, 1), (7, 1), (8, 1), (9, 1), (20, 20), (30, 20)]
+    assert len(rounds) == 1
+    rounds.clear()
+    assert neardup.components(spark.createDataFrame([], "a long, b long")).count() == 0 and len(rounds) == 1
+
+
+def counted_plans(module, monkeypatch):
+    """Plans of the sides that a module counts before it broadcasts them."""
+    plans, side = [], module.small_or_not
+    monkeypatch.setattr(module, "small_or_not", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or side(df))
+    return plans
+
+
+def test_buckets_of_the_second_pass_are_not_made_again_to_be_counted(make_docs, copies, monkeypatch):
+    plans = counted_plans(neardup, monkeypatch)
+    neardup.near_duplicates(make_docs(copies.items()))
+    assert len(plans) == 2 and not any("Join" in p for p in plans)
+
+
+def test_anchors_are_not_made_again_to_be_counted(spark, make_docs, prose, monkeypatch):
+    texts = {k: prose(40) for k in range(4)}
+    benchmark = spark.createDataFrame([("a", texts[1]), ("b", prose(30))], "item_id string, text string")
+    tokens = decontaminate.token_store(make_docs(texts.items()))
+    windows = decontaminate.item_windows(benchmark)[1]
+    windows = decontaminate.rarest_places(windows, decontaminate.term_counts(tokens, windows))
+    plans = counted_plans(decontaminate, monkeypatch)
+    found = decontaminate.phrase_matches(tokens, windows)
+    assert {r["doc_id"] for r in found.collect()} == {1}
+    # the terms of the anchors, and the anchors; the third are the candidates, written before
+    assert len(plans) == 3 and not any("Join" in p for p in plans)
+
+
 # ---- licences --------------------------------------------------------------------
 
 LICENSED = {
