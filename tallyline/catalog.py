@@ -228,7 +228,7 @@ def invoice_stage(t: Tables) -> DataFrame:
 
 
 def history_backfill(t: Tables) -> DataFrame:
-    return stage.history_backfill(t, detail(t, attach=stage.attached_columns(t)), YEARS, as_of=MOMENT, user="loader")
+    return stage.history_backfill(t, staged_detail(t, attach=stage.attached_columns(t)), YEARS, as_of=MOMENT, user="loader")
 
 
 def incremental_refresh(t: Tables) -> DataFrame:

@@ -59,7 +59,7 @@ def test_a_step_keeps_values_and_nothing_at_all(spark):
     assert sinks.Stages(spark)(df.filter("s = 'none'")).count() == 0
 
 
-JOBS = ["om_detail"]
+JOBS = ["om_detail", "history_backfill"]
 
 
 @pytest.mark.parametrize("job, steps", [(job, 4) for job in JOBS])
