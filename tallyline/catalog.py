@@ -204,8 +204,8 @@ def load_ledger(t: Tables) -> DataFrame:
 
 def period_replace(t: Tables) -> DataFrame:
     """One month of the stored margin detail, reloaded by a later request."""
-    fresh = margin.om_detail(t, MONTH, as_of=MOMENT, request_id=2)
-    return state.period_replace(detail(t), fresh, "summary_date", MONTH[0])
+    fresh = staged_month(t, 2)
+    return state.period_replace(staged_detail(t), fresh, "summary_date", MONTH[0])
 
 
 def upsert_measures(t: Tables) -> DataFrame:

@@ -62,7 +62,7 @@ def test_a_step_keeps_values_and_nothing_at_all(spark):
 JOBS = ["om_detail", "history_backfill"]
 
 
-@pytest.mark.parametrize("job, steps", [(job, 4) for job in JOBS] + [("incremental_refresh", 5)])
+@pytest.mark.parametrize("job, steps", [(job, 4) for job in JOBS] + [("period_replace", 5), ("incremental_refresh", 5)])
 def test_jobs_over_the_whole_detail_are_written_in_steps(tables, monkeypatch, job, steps):
     seen = []
 
