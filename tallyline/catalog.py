@@ -230,7 +230,7 @@ def load_audit(t: Tables) -> DataFrame:
 # ---- invoice staging -------------------------------------------------------------------
 
 def invoice_stage(t: Tables) -> DataFrame:
-    return stage.invoice_stage(t, detail(t, attach=stage.attached_columns(t)), as_of=MOMENT, user="loader")
+    return stage.invoice_stage(t, staged_detail(t, attach=stage.attached_columns(t)), as_of=MOMENT, user="loader")
 
 
 def history_backfill(t: Tables) -> DataFrame:
