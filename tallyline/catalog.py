@@ -263,7 +263,7 @@ JOBS: dict[str, Job] = {
     "cost_elements": lambda t: cost_by_transaction(t["mtl_transaction_accounts"]),
     "om_freight_credits": freight_credits,
     "om_replacements": detail_columns("om_replacements", parts=("Part1", "Part2", "Part3")),
-    "om_part1_sales": lambda t: detail(t, "Part1"),
+    "om_part1_sales": lambda t: staged_detail(t, "Part1"),
     "om_part2_config": lambda t: detail(t, "Part2"),
     "om_part3_returns": lambda t: detail(t, "Part3"),
     "om_part4_freight": lambda t: detail(t, "Part4"),
