@@ -268,7 +268,7 @@ JOBS: dict[str, Job] = {
     "om_part3_returns": lambda t: detail(t, "Part3"),
     "om_part4_freight": lambda t: detail(t, "Part4"),
     "om_part5_no_item": lambda t: detail(t, "Part5"),
-    "om_part6_no_txn": lambda t: detail(t, "Part6"),
+    "om_part6_no_txn": lambda t: staged_detail(t, "Part6"),
     "om_detail": staged_detail,
     "gross_profit": detail_columns("om_cogs", "om_gross_profit", "om_gross_profit_percent"),
     "market_quantity": detail_columns("quantity", "uom_code", "market_quantity", "market_uom"),
