@@ -265,7 +265,7 @@ JOBS: dict[str, Job] = {
     "om_replacements": detail_columns("om_replacements", parts=("Part1", "Part2", "Part3")),
     "om_part1_sales": lambda t: staged_detail(t, "Part1"),
     "om_part2_config": lambda t: staged_detail(t, "Part2"),
-    "om_part3_returns": lambda t: detail(t, "Part3"),
+    "om_part3_returns": lambda t: staged_detail(t, "Part3"),
     "om_part4_freight": lambda t: detail(t, "Part4"),
     "om_part5_no_item": lambda t: detail(t, "Part5"),
     "om_part6_no_txn": lambda t: staged_detail(t, "Part6"),

@@ -59,7 +59,7 @@ def test_a_step_keeps_values_and_nothing_at_all(spark):
     assert sinks.Stages(spark)(df.filter("s = 'none'")).count() == 0
 
 
-JOBS = ["om_detail", "om_part1_sales", "om_part2_config", "om_part6_no_txn", "invoice_stage", "history_backfill"]
+JOBS = ["om_detail", "om_part1_sales", "om_part2_config", "om_part3_returns", "om_part6_no_txn", "invoice_stage", "history_backfill"]
 
 
 @pytest.mark.parametrize("job, steps", [(job, 4) for job in JOBS] + [("period_replace", 5), ("incremental_refresh", 5)])
